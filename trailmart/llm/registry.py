@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmart.llm.distinct import distinct_counts
 from trailmart.llm.quantiles import merged_quantiles, partial_sketches
+from trailmart.llm.tokens import encode
 from trailmart.session import table
 
 USER_KEYS = ("load_id", "event_date", "srch_destination_id", "device_segment", "is_booking")
@@ -49,8 +50,12 @@ def p3_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return merged_quantiles(p3_monthly_sketches(spark, folder), QUANTILES)
 
 
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids)}
 
 
 def _p1_sql(p: int = 12) -> str:
