@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart.llm.distinct import distinct_counts
+from trailmart.llm.packing import pack
 from trailmart.llm.quantiles import merged_quantiles, partial_sketches
 from trailmart.llm.tokens import encode
-from trailmart.session import table
+from trailmart.session import checkpointed, table
 
 USER_KEYS = ("load_id", "event_date", "srch_destination_id", "device_segment", "is_booking")
 USER_SETS = (
@@ -54,8 +55,16 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"))
 
 
+CONTAINER = 2048
+
+
+def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = checkpointed(encode(table(spark, folder, "documents"), only_counts=True))
+    return pack(sizes, "doc_id", "tokens", CONTAINER)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids, p9_containers)}
 
 
 def _p1_sql(p: int = 12) -> str:

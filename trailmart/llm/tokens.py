@@ -38,7 +38,7 @@ TOKENIZERS = "/opt/tokenizers"
 # Fixed value: the vocabulary's published splitting pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Unicode's white space, written out, as Java's \s is ASCII only.
-SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
+SPACE = r"\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 JAVA_PATTERN = PATTERN.replace(r"[^\s\p{L}", rf"[^{SPACE}\p{{L}}").replace(r"\s+(?!\S)|\s+", rf"[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
