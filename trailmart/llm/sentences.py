@@ -48,7 +48,7 @@ CJK_GOES_ON = re.compile(
     r"[とがをはもにでのへや]|って|など|という|然后|接着|随后|于是|并且|并|而|就|便|又|才|但|"
     r"[^。！？!?“”「」\s]{0,12}?(?:问道|说道|喊道|答道|回答|写道|笑道|叫道|问|说|道)(?=[。，,！!])"
 )
-SPOKE = re.compile(r"\S+(?: \S+)? (?:ने (?:पूछा|कहा|बताया|लिखा|बोला)|बोल|asked|said|wrote)")
+SPOKE = re.compile(r"\S+(?: \S+)? (?:ने (?:पूछा|कहा|बताया|लिखा|बोला)|(?:asked|said|wrote|replied)(?=[.,;:]|$))")
 #: End marks of the scripts of the world.
 MARKS = ".!?…‥。！？｡．؟۔।॥՞՜։፧።᠃᠉‼⁇⁈⁉⁉︕︖"
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "「": "」", "『": "』", "【": "】", "《": "》", "〈": "〉", "«": "»", "“": "”", "„": "“", "‹": "›", "｢": "｣"}
@@ -196,7 +196,7 @@ def split_block(text: str) -> list[tuple[int, int]]:
             return False
         if following.islower():
             return True
-        if following.isalpha() and SPOKE.match(text, nxt):
+        if following.isalpha() and text[opened] not in "([{（" and SPOKE.match(text, nxt):
             return text[start:opened].strip() == ""
         return False
 
