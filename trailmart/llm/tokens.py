@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.llm.lexicon import Lexicon, build
+from trailmart.session import checkpointed
 
 #: Bound on the words of the lexicon, and on a word's bytes; rarer or longer words are merged.
 LEXICON = 1 << 15
 LONGEST = 32
+BINS = 32
 #: Words of more bytes are merged one by one with a heap.
 LONG_WORD = 256
 TOKENIZERS = "/opt/tokenizers"
@@ -206,10 +208,23 @@ def words(text: str = "text"):
 
 
 def frequent_words(df: DataFrame, text: str = "text", limit: int = LEXICON) -> list[str]:
-    """The most frequent words of all texts, at most ``limit``, ties by order of the words."""
+    """The most frequent words of all texts, at most ``limit``.
+
+    The counts are binned by size (at most 64 x BINS bins) to find how frequent a word must be, so that
+    no more than ``limit`` words, and no candidates, come to the driver. The lexicon only saves time:
+    which words it has changes no result.
+    """
     counted = df.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    counted = counted.where((F.octet_length("word") <= LONGEST) & (F.col("n") > 1))
-    return [r[0] for r in counted.orderBy(F.desc("n"), "word").limit(limit).select("word").collect()]
+    counted = checkpointed(
+        counted.where((F.octet_length("word") <= LONGEST) & (F.col("n") > 1)).select("word", F.floor(F.log2("n") * BINS).cast("int").alias("bin"))
+    )
+    sizes = sorted(((r[0], r[1]) for r in counted.groupBy("bin").agg(F.count("*")).collect()), reverse=True)
+    taken, least = 0, None
+    for bin_, size in sizes:
+        if taken + size > limit:
+            break
+        taken, least = taken + size, bin_
+    return [] if least is None else [r[0] for r in counted.where(F.col("bin") >= least).select("word").collect()]
 
 
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
