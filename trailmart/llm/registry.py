@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trailmart.llm.distinct import distinct_counts
 from trailmart.llm.packing import pack
 from trailmart.llm.quantiles import merged_quantiles, partial_sketches
+from trailmart.llm.sentences import find_sentences
 from trailmart.llm.tokens import encode
 from trailmart.session import checkpointed, table
 
@@ -63,8 +64,12 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "tokens", CONTAINER)
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_sentences(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids, p9_containers, p10_found)}
 
 
 def _p1_sql(p: int = 12) -> str:
