@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from trailmart.plans import problems
+from trailmart.plans import mart_queries, problems
 
-MODULES = (problems,)
+MODULES = (mart_queries, problems)
 
 
 def queries() -> dict:
