@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from trailmart.plans import bi_queries, legacy_queries, mart_queries, problems
+from trailmart.plans import bi_queries, legacy_queries, mart_queries, pipeline_queries, problems
 
-MODULES = (mart_queries, bi_queries, legacy_queries, problems)
+MODULES = (mart_queries, bi_queries, legacy_queries, pipeline_queries, problems)
 
 
 def queries() -> dict:
