@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from trailmart.plans import bi_queries, legacy_queries, mart_queries, pipeline_queries, problems
+from trailmart.plans import bi_queries, legacy_queries, mart_queries, pipeline_queries, problems, report_queries
 
-MODULES = (mart_queries, bi_queries, legacy_queries, pipeline_queries, problems)
+MODULES = (mart_queries, bi_queries, legacy_queries, pipeline_queries, report_queries, problems)
 
 
 def queries() -> dict:
