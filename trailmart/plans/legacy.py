@@ -197,17 +197,17 @@ def deciles(df: DataFrame, value: str, name: str, tie: str = "srch_destination_i
     The rows of each value are counted; a cumulative sum over the values gives every row its rank. Only
     the distinct values pass one task, and rows of one value are ranked within it.
     """
-    sizes = df.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    before = Window.orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    before = Window.orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sizes = sizes.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn("n", F.sum("c").over(everything)).drop("c")
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).withColumn("_n", F.sum("_c").over(everything)).drop("_c")
     inside = Window.partitionBy(value).orderBy(tie)
-    rank = F.col("before") + F.row_number().over(inside) - 1  # from 0
-    small, larger = F.expr(f"n div {parts}"), F.col("n") % parts
+    rank = F.col("_before") + F.row_number().over(inside) - 1  # from 0
+    small, larger = F.expr(f"_n div {parts}"), F.col("_n") % parts
     edge = larger * (small + 1)
     tile = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(larger + F.floor((rank - edge) / F.greatest(small, F.lit(1)))) + 1
-    joined = df.join(sizes, F.col(value).eqNullSafe(F.col("v")))
-    return joined.withColumn(name, tile.cast("int")).drop("v", "before", "n")
+    joined = df.join(sizes, F.col(value).eqNullSafe(F.col("_v")))
+    return joined.withColumn(name, tile.cast("int")).drop("_v", "_before", "_n")
 
 
 def destination_monthly(context: DataFrame, stable: int = 100) -> DataFrame:
