@@ -81,10 +81,10 @@ def sweep(sizes: dict[int, int], capacity: int) -> Plan:
 
 
 def pieces(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
-    """One row per piece: key, piece, size. Only items above the capacity are cut, into full pieces and a rest."""
-    known = items.select(F.col(key), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("bigint").alias("whole"))
-    cut = known.select(key, "whole", F.explode(F.expr(f"sequence(0L, greatest((whole - 1) div {capacity}, 0L))")).alias("piece"))
-    return cut.select(key, "piece", F.least(F.col("whole") - F.col("piece") * capacity, F.lit(capacity)).alias("size"))
+    """One row per piece: _key, piece, size. Only items above the capacity are cut, into full pieces and a rest."""
+    known = items.select(F.col(key).alias("_key"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("bigint").alias("whole"))
+    cut = known.select("_key", "whole", F.explode(F.expr(f"sequence(0L, greatest((whole - 1) div {capacity}, 0L))")).alias("piece"))
+    return cut.select("_key", "piece", F.least(F.col("whole") - F.col("piece") * capacity, F.lit(capacity)).alias("size"))
 
 
 def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
@@ -93,41 +93,41 @@ def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     ``place`` numbers the pieces of a container from 0, ``start`` is where in the container a piece
     begins. Items of size 0 (or null) take no room: they lie in container 0 at place -1. An empty
     table gives no rows. Which of several items of one size goes where follows from their keys;
-    repeated rows are items of their own.
+    repeated rows are items of their own. The items are read three times, so they should be cheap to
+    read again; other columns are ignored.
     """
     cut = pieces(items, key, size, capacity)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)).cast("int"))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("_key", "piece"), F.lit(SALTS)).cast("int"))
     counts = salted.where("size > 0").groupBy("size", "salt").agg(F.count("*").alias("n"))
     # bounded: at most capacity x SALTS rows, and capacity rows at the driver
     sizes = {r[0]: r[1] for r in counts.groupBy("size").agg(F.sum("n")).collect()}
     plan = sweep(sizes, capacity)
-    spark = items.sparkSession
     schema = "size bigint, first bigint, ranks bigint, container bigint, each bigint, place bigint, start bigint"
-    ranges = spark.createDataFrame(plan.ranges, schema)
+    ranges = items.sparkSession.createDataFrame(plan.ranges, schema)
     before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("size", "salt").orderBy(key, "piece")
+    within = Window.partitionBy("size", "salt").orderBy("_key", "piece")
     ranked = (
         salted.where("size > 0")
-        .withColumn("k", F.row_number().over(within) - 1)
+        .withColumn("nth", F.row_number().over(within) - 1)
         .join(F.broadcast(offsets), ["size", "salt"])
-        .withColumn("rank", F.col("k") + F.col("before"))
+        .withColumn("rank", F.col("nth") + F.col("before"))
     )
     # the ranges of a size as one sorted array each, so that an item finds its own by a search in its row
     lists = ranges.groupBy("size").agg(F.sort_array(F.collect_list(F.struct("first", "ranks", "container", "each", "place", "start"))).alias("ranges"))
     matched = ranked.join(F.broadcast(lists), "size").withColumn(
         "r", F.expr("element_at(filter(ranges, x -> x.first <= rank and rank < x.first + x.ranks), 1)")
     )
-    nth = (F.col("rank") - F.col("r.first")) % F.col("r.each")
+    inside = (F.col("rank") - F.col("r.first")) % F.col("r.each")
     placed = matched.select(
-        key,
+        "_key",
         "piece",
         (F.col("r.container") + F.expr("(rank - r.first) div r.each")).alias("container_id"),
-        (F.col("r.place") + nth).alias("place"),
-        (F.col("r.start") + nth * F.col("size")).alias("start"),
+        (F.col("r.place") + inside).alias("place"),
+        (F.col("r.start") + inside * F.col("size")).alias("start"),
         "size",
     )
     nothing = cut.where("size = 0").select(
-        key, "piece", F.lit(0).cast("bigint").alias("container_id"), F.lit(-1).cast("bigint").alias("place"), F.lit(0).cast("bigint").alias("start"), "size"
+        "_key", "piece", F.lit(0).cast("bigint").alias("container_id"), F.lit(-1).cast("bigint").alias("place"), F.lit(0).cast("bigint").alias("start"), "size"
     )
-    return placed.unionByName(nothing)
+    return placed.unionByName(nothing).withColumnRenamed("_key", key)
