@@ -45,8 +45,8 @@ Tag Woche Monat Jahr Jahrhundert Klasse Platz Mal Auflage Kapitel Teil Weltkrieg
 LOWER_START = re.compile(r"(?:i(?:Pad|Phone|Pod|Mac|OS)|e(?:Bay|Book|Sim)|ok\b)")
 #: What goes on after a quotation that ended in an end mark, in scripts without capitals or spaces.
 CJK_GOES_ON = re.compile(
-    r"[とがをはもにでのへや]|って|など|という|然后|接着|随后|于是|并且|并|而|就|便|又|才|但|"
-    r"[^。！？!?“”「」\s]{0,12}?(?:问道|说道|喊道|答道|回答|写道|笑道|叫道|问|说|道)(?=[。，,！!])"
+    r"[とがをはもにでのへや]|って|など|という|然\s?后|接\s?着|随\s?后|于\s?是|并|而|就|便|又|才|但|"
+    r"[^。！？!?“”「」]{0,14}?(?:[问说喊答写笑叫]\s?道|回\s?答|问|说|道)\s?(?=[。，,！]|$)"
 )
 SPOKE = re.compile(r"\S+(?: \S+)? (?:ने (?:पूछा|कहा|बताया|लिखा|बोला)|(?:asked|said|wrote|replied)(?=[.,;:]|$))")
 #: End marks of the scripts of the world.
@@ -74,13 +74,18 @@ ITEM = re.compile(r"\(?(?:[0-9]{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)](?=\s)")
 SPACES = re.compile(r"\s*")
 
 
+def _forms(word: str) -> list[str]:
+    """A word as it is, with accents apart, and as damaged mails have it."""
+    return sorted({word, unicodedata.normalize("NFD", word), word.encode().decode("latin-1"), word.encode().decode("cp1252", "replace")})
+
+
 class Trie:
     """Abbreviations, read backwards from the mark."""
 
     def __init__(self, words: list[str]) -> None:
         self.root: dict = {}
         for word in words:
-            for form in {word, unicodedata.normalize("NFD", word), word.encode().decode("latin-1")}:
+            for form in _forms(word):
                 node = self.root
                 for letter in reversed(form):
                     node = node.setdefault(letter, {})
@@ -106,6 +111,7 @@ class Trie:
 
 
 # a title or number may open a clause that begins in lower case
+ORDINALS = re.compile("(?:" + "|".join(re.escape(f) for w in ORDINAL for f in _forms(w)) + r")(?!\w)")
 TRIES = Trie([*ALWAYS, *(w[0].lower() + w[1:] for w in ALWAYS)]), Trie(MAYBE), Trie([*BEFORE_NUMBER, *(w.lower() for w in BEFORE_NUMBER)])
 
 
@@ -155,10 +161,7 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
     if always.before(text, at, start):
         return False
     if before.isdigit():
-        word = re.match(r"\w+", text[nxt : nxt + 24])
-        if word and word.group() in ORDINAL:
-            return False
-        return begins
+        return begins and not ORDINALS.match(text, nxt)
     if before.isupper() and (at - 2 < start or text[at - 2] in " .(\"“„«-'’"):
         return False  # an initial
     if before.isalpha() and (at - 2 < start or text[at - 2] == " ") and before.islower():
