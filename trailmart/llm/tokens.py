@@ -240,17 +240,27 @@ def ship_lexicon(df: DataFrame, vocab: str, text: str = "text", limit: int = LEX
     data = build(chosen, {w: flat[e - c : e].tolist() for w, c, e in zip(chosen, counts, ends, strict=True)})
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin"
     context = df.sparkSession.sparkContext
-    folder = os.path.join(tempfile.gettempdir(), f"trailmart-{context.applicationId}")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    if not os.path.exists(path):
-        with open(path + ".part", "wb") as file:
-            file.write(data)
-        os.replace(path + ".part", path)
-        context.addFile(path)
+    if name not in {os.path.basename(f) for f in context.listFiles}:
+        context.addFile(_stored(df, name, data))
     return name
 
 
+def _stored(df: DataFrame, name: str, data: bytes) -> str:
+    """Write a file to the shared folder of the checkpoints (in tests without one, to a temporary one)."""
+    context = df.sparkSession.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        folder = tempfile.mkdtemp(prefix="trailmart-lexicon-")
+        with open(os.path.join(folder, name), "wb") as file:
+            file.write(data)
+        return os.path.join(folder, name)
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared}/{name}")
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+    stream.write(bytearray(data))
+    stream.close()
+    return path.toString()
+
+
 def _batch_ids(column: pa.Array, lexicon: Lexicon, merge: Merger) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and ids of the texts of one batch of word arrays."""
     offsets = column.offsets.to_numpy().astype(np.int64)
