@@ -1,8 +1,8 @@
 """Loading delimited text while setting aside the lines that cannot be loaded, with every reason.
 
-Blocks of lines take a fast columnar path: one pass of a native CSV reader and vectorised checks.
-A block that fails anywhere is bisected, recursively, until the failing lines stand alone in blocks
-of a few lines; only those are diagnosed strictly, field by field. The fast path accepts a block only
+Blocks of lines take a fast columnar path: a vectorised test of their shape, one pass of a native CSV
+reader, and checks of whole columns. A block that fails anywhere is bisected, recursively, until the
+failing lines stand alone (or in blocks of a few); only those are diagnosed strictly, field by field. The fast path accepts a block only
 if each of its lines would pass the strict one, so both give the same answer.
 """
 
@@ -12,6 +12,7 @@ import datetime as dt
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
@@ -132,10 +133,18 @@ CONVERT = pacsv.ConvertOptions(
 )
 
 
+def shapely(lines: pa.Array) -> np.ndarray:
+    """Which lines look plainly valid."""
+    return np.asarray(pc.fill_null(pc.match_substring_regex(lines, SHAPE), False))
+
+
 def parse_block(lines: pa.Array) -> pa.Table | None:
     """The typed columns of a block, or None if any line is not plainly valid."""
-    if lines.null_count or not pc.all(pc.match_substring_regex(lines, SHAPE)).as_py():
-        return None
+    return parse_shapely(lines) if shapely(lines).all() else None
+
+
+def parse_shapely(lines: pa.Array) -> pa.Table | None:
+    """The same for lines that look valid: dates may not exist, numbers not fit, flags be out of range."""
     data = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_buffer()
     try:
         parsed = pacsv.read_csv(
@@ -158,23 +167,51 @@ FIELDS = [pa.field(name, ARROW[kind]) for name, kind in TRAIN_FIELDS]
 OUT = pa.schema([pa.field("line_id", pa.int64()), *FIELDS, pa.field("reasons", pa.list_(pa.string()))])
 
 
+def _isolate(failing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bisect a block by the number of failing lines before each: positions in passing blocks, and those alone."""
+    before = np.r_[0, np.cumsum(failing)]
+    clean, alone, stack = [], [], [(0, len(failing))]
+    while stack:
+        start, end = stack.pop()
+        if before[end] == before[start]:
+            clean.append(np.arange(start, end))
+        elif before[end] - before[start] == end - start:
+            alone.append(np.arange(start, end))
+        else:
+            half = (start + end) // 2
+            stack += [(half, end), (start, half)]
+    join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
+    return join(clean), join(alone)
+
+
+def _diagnosed(ids: pa.Array, lines: pa.Array) -> pa.RecordBatch:
+    rows = [diagnose(x) for x in lines.to_pylist()]
+    columns = [pa.array([v[i] if v else None for v, _ in rows], f.type) for i, f in enumerate(FIELDS)]
+    return pa.RecordBatch.from_arrays([ids, *columns, pa.array([r for _, r in rows], pa.list_(pa.string()))], schema=OUT)
+
+
 def _resolve(ids: pa.Array, lines: pa.Array, leaf: int) -> Iterator[pa.RecordBatch]:
-    """Batches of the result: whole blocks where the fast path holds, else halves, else single lines."""
+    """Batches of the result. Lines that do not look valid are isolated first; the passing blocks, put
+    together, are parsed at once, and where that fails halved until the failing lines are few."""
+    clean, alone = _isolate(~shapely(lines))
+    if len(alone):
+        yield _diagnosed(ids.take(pa.array(alone)), lines.take(pa.array(alone)))
+    if not len(clean):
+        return
+    if len(alone):
+        ids, lines = ids.take(pa.array(clean)), lines.take(pa.array(clean))
     stack = [(0, len(lines))]
     while stack:
         start, size = stack.pop()
         part = lines.slice(start, size)
-        if size > leaf:
-            if (parsed := parse_block(part)) is not None:
-                empty = pa.array([[]] * size, pa.list_(pa.string()))
-                yield from pa.Table.from_arrays([ids.slice(start, size), *parsed.columns, empty], schema=OUT).to_batches()
-                continue
+        if (parsed := parse_shapely(part)) is not None:
+            empty = pa.ListArray.from_arrays(pa.array(np.zeros(size + 1, np.int32)), pa.array([], pa.string()))
+            yield from pa.Table.from_arrays([ids.slice(start, size), *parsed.columns, empty], schema=OUT).to_batches()
+        elif size > leaf:
             half = size // 2
             stack += [(start + half, size - half), (start, half)]
-            continue
-        rows = [diagnose(x) for x in part.to_pylist()]
-        columns = [pa.array([v[i] if v else None for v, _ in rows], f.type) for i, f in enumerate(FIELDS)]
-        yield pa.RecordBatch.from_arrays([ids.slice(start, size), *columns, pa.array([r for _, r in rows], pa.list_(pa.string()))], schema=OUT)
+        else:
+            yield _diagnosed(ids.slice(start, size), part)
 
 
 def parse_lines(df: DataFrame, line_id: str = "line_id", line: str = "raw_line", block: int = 4096, leaf: int = 8) -> DataFrame:
