@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from trailmart.plans import bi_queries, legacy_queries, mart_queries, pipeline_queries, problems, report_queries
+from trailmart.plans import bi_queries, legacy_queries, mart_queries, pipeline_queries, problems, relational_queries, report_queries
 
-MODULES = (mart_queries, bi_queries, legacy_queries, pipeline_queries, report_queries, problems)
+MODULES = (mart_queries, bi_queries, legacy_queries, pipeline_queries, report_queries, relational_queries, problems)
 
 
 def queries() -> dict:
