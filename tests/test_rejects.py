@@ -3,7 +3,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from trailmart.operators.rejects import NAMES, diagnose, parse_block, parse_lines, split_line
+from trailmart.operators.rejects import NAMES, TRAIN_FIELDS, diagnose, parse_block, parse_lines, split_line
 
 GOOD = "2013-01-01 01:45:55,8,3,195,380,38024,1.5,649,0,0,10,2013-01-02,2013-01-12,3,0,1,142,5,0,1,1,50,161,13"
 
@@ -69,6 +69,30 @@ def test_fast_path_never_accepts_what_the_strict_one_rejects():
             assert [c[1].as_py() for c in block.columns] == values, text
 
 
+def test_fast_path_knows_the_calendar():
+    """strptime-like readers roll 30 February over to March."""
+    for column, hour in (("date_time", " 10:00:00"), ("srch_ci", ""), ("srch_co", "")):
+        for year in (2012, 2013, 1900, 2000):
+            for month in range(0, 14):
+                for day in (0, 1, 28, 29, 30, 31, 32):
+                    line = change(column, f"{year}-{month:02d}-{day:02d}{hour}")
+                    assert (parse_block(pa.array([line])) is None) == bool(diagnose(line)[1]), line
+    for clock in ("24:00:00", "23:60:00", "23:59:60", "00:00:00", "23:59:59"):
+        line = change("date_time", f"2013-01-01 {clock}")
+        assert (parse_block(pa.array([line])) is None) == bool(diagnose(line)[1]), line
+    for column, kind in TRAIN_FIELDS:
+        if kind.startswith("int"):
+            top = 1 << (int(kind[3:]) - 1)
+            for value in (top - 1, top, -top, -top - 1, 10**30, "0" * 30 + "1", "-0"):
+                line = change(column, str(value))
+                if parse_block(pa.array([line])) is not None:
+                    assert not diagnose(line)[1], line
+    for value in ("1." + "0" * 400, "9" * 400, "0.1", "-0.0", "123456789.123456789"):
+        line = change("orig_destination_distance", value)
+        block = parse_block(pa.array([line]))
+        assert block is None or block["orig_destination_distance"][0].as_py() == diagnose(line)[0][6], line
+
+
 def test_blocks_and_lines_agree(spark):
     rng = random.Random(5)
     lines = [GOOD if rng.random() < 0.8 else rng.choice([None, "", GOOD + ",x", change("cnt", "x"), change("cnt", '"'), change("hotel_cluster", "-1")]) for _ in range(700)]

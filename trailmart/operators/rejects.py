@@ -129,7 +129,7 @@ def _shape() -> str:
 SHAPE = _shape()
 NAMES = [name for name, _ in TRAIN_FIELDS]
 CONVERT = pacsv.ConvertOptions(
-    column_types={name: ARROW[kind] for name, kind in TRAIN_FIELDS}, null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True, timestamp_parsers=["%Y-%m-%d %H:%M:%S"]
+    column_types={name: ARROW[kind] for name, kind in TRAIN_FIELDS}, null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True, timestamp_parsers=[pacsv.ISO8601]
 )
 
 

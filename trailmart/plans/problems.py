@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trailmart.functions.cells import DATE, DECIMAL, INTEGER, TIMESTAMP, read_cell
 from trailmart.operators.diff import table_diff
 from trailmart.operators.features import entity_features
-from trailmart.operators.quality import column_profile, load_departures
+from trailmart.operators.quality import RULES, column_profile, load_departures
 from trailmart.operators.rejects import TRAIN_FIELDS, accepted, parse_lines, rejected
 from trailmart.operators.sessions import sessionize
 from trailmart.session import table
@@ -134,6 +134,45 @@ select load_id::bigint as load_id, c as column_name, kind from (
 """
 
 
+#: Columns of the interaction table by kind, for the profile's SQL.
+PROFILED = {
+    "varchar": ("interaction_id", "device_segment", "traveller_segment"),
+    "timestamp": ("event_datetime", "loaded_at"),
+    "date": ("event_date", "event_month", "checkin_date", "checkout_date"),
+    "number": (
+        "event_year", "event_month_num", "site_name", "posa_continent", "user_location_country", "user_location_region", "user_location_city",
+        "orig_destination_distance", "user_id", "is_mobile", "is_package", "channel", "lead_time_days", "stay_nights", "srch_adults_cnt", "srch_children_cnt",
+        "srch_rm_cnt", "srch_destination_id", "srch_destination_type_id", "is_booking", "similar_event_count", "hotel_continent", "hotel_country", "hotel_market", "hotel_cluster",
+    ),
+}
+
+
+def _p6_profile_sql() -> str:
+    parts = []
+    for kind, names in PROFILED.items():
+        for c in names:
+            number = {"timestamp": f"epoch({c})::double", "date": f"({c} - date '1970-01-01')::double", "number": f"{c}::double", "varchar": "null::double"}[kind]
+            rule = RULES.get(c)
+            if rule and "rlike" in rule:
+                rule = f"regexp_matches({c}, {rule.split(' rlike ')[1]})"
+            elif c == "checkin_date":
+                rule = "datediff('day', event_date, checkin_date) between 0 and 730"
+            text = c if kind == "varchar" else "null::varchar"
+            parts.append(f"select load_id, '{c}' as column_name, {c} is not null as filled, {c}::varchar as value, {text} as txt, {number} as num, {f'not coalesce({rule}, false)' if rule else 'false'} as broken from fct_hotel_interactions")
+    return f"""
+    with l as ({' union all '.join(parts)}),
+         f as (select *, case when not isnan(num) then num end as v, case when not isnan(num) then try_cast(num as decimal(18,6)) end as x from l),
+         g as (select load_id, column_name, count(*) as row_count, 1 - count(*) filter (where filled) / count(*)::double as s, count(*) - count(*) filter (where filled) as gone, count(distinct value) as distinct_values,
+                 min(v) as min_number, max(v) as max_number, min(txt) as min_text, max(txt) as max_text, count(*) filter (where filled and broken) as violations,
+                 count(x) as m, sum(x) as sx, sum((x::decimal(19,6) * x)::decimal(38,6)) as sxx from f group by all),
+         h as (select *, sum(m) over w - m as rm, (sum(sx) over w - coalesce(sx, 0))::double as rx, (sum(sxx) over w - coalesce(sxx, 0))::double as rxx from g window w as (partition by column_name)),
+         d as (select *, sx::double / nullif(m, 0) as mean, rx / nullif(rm, 0) as rest, sxx::double / nullif(m, 0) - (sx::double / nullif(m, 0)) * (sx::double / nullif(m, 0)) as var,
+                 rxx / nullif(rm, 0) - (rx / nullif(rm, 0)) * (rx / nullif(rm, 0)) as rest_var from h),
+         e as (select *, sqrt((greatest(var, 0.0::double) + greatest(rest_var, 0.0::double)) / 2) as spread from d)
+    select load_id::bigint as load_id, column_name, row_count, gone::double / row_count as null_share, distinct_values, min_number, max_number, min_text, max_text, violations, mean,
+      case when rm > 0 and mean is not null and spread > 0 then round((mean - rest) / spread, 6) end as std_difference from e"""
+
+
 def _p7_sql() -> str:
     field = '(?:"(?:[^"]|"")*"|[^",]*)'
     checks = []
@@ -175,6 +214,7 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": _p4_sql(),
         "p5_features": P5,
         "p6_found": P6_FOUND,
+        "p6_profile": _p6_profile_sql(),
         "p7_found": _p7_sql(),
         "p7_loaded": _p7_loaded_sql(),
     }
