@@ -158,7 +158,8 @@ def _p6_profile_sql() -> str:
             elif c == "checkin_date":
                 rule = "datediff('day', event_date, checkin_date) between 0 and 730"
             text = c if kind == "varchar" else "null::varchar"
-            parts.append(f"select load_id, '{c}' as column_name, {c} is not null as filled, {c}::varchar as value, {text} as txt, {number} as num, {f'not coalesce({rule}, false)' if rule else 'false'} as broken from fct_hotel_interactions")
+            value = f"case when {c} = 0 then '0' when isnan({c}::double) then 'nan' else {c}::varchar end" if kind == "number" else f"{c}::varchar"  # 0 and -0 are one value, and so are all NaN
+            parts.append(f"select load_id, '{c}' as column_name, {c} is not null as filled, {value} as value, {text} as txt, {number} as num, {f'not coalesce({rule}, false)' if rule else 'false'} as broken from fct_hotel_interactions")
     return f"""
     with l as ({' union all '.join(parts)}),
          f as (select *, case when not isnan(num) then num end as v, case when not isnan(num) then try_cast(num as decimal(18,6)) end as x from l),
