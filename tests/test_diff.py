@@ -31,12 +31,17 @@ def test_equal_and_empty_tables(spark):
     assert diff(spark, rows[:1], []) == [(0, "", "missing_in_processed")]
 
 
+def test_clashing_names(spark):
+    a, b = (spark.createDataFrame([(1, x, 2, 3)], "k int, bucket int, n int, x0 int") for x in (5, 6))
+    assert [tuple(r) for r in table_diff(a, b, "k", ["bucket", "n", "x0"], "raw", "processed").collect()] == [(1, "bucket", "value")]
+
+
 def test_matrix_is_additive(spark):
     df = spark.createDataFrame([(i, i, 1.0, "") for i in range(90)], SCHEMA)
-    whole = {r["bucket"]: r for r in checksum_matrix(df, "k", ["a"], 8).collect()}
+    whole = {r["_bucket"]: r for r in checksum_matrix(df, "k", ["a"], 8).collect()}
     parts = [r for p in (df.where("k < 40"), df.where("k >= 40")) for r in checksum_matrix(p, "k", ["a"], 8).collect()]
     for bucket, r in whole.items():
-        own = [p for p in parts if p["bucket"] == bucket]
+        own = [p for p in parts if p["_bucket"] == bucket]
         assert (r["n"], r["lo_0"], r["hi_0"]) == tuple(sum(p[c] for p in own) for c in ("n", "lo_0", "hi_0"))
 
 

@@ -25,12 +25,12 @@ def _bucket(key: str, buckets: int) -> Column:
 
 
 def checksum_matrix(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
-    """One row per non-empty bucket: bucket, n, and the sums lo_i and hi_i of each column.
+    """One row per non-empty bucket: _bucket, n, and the sums lo_i and hi_i of each column.
 
     Matrices of disjoint parts of a table combine by adding their cells.
     """
     hashed = df.select(
-        _bucket(key, buckets).alias("bucket"),
+        _bucket(key, buckets).alias("_bucket"),
         *(F.xxhash64(F.lit(c), F.col(key), F.col(c)).alias(f"h_{i}") for i, c in enumerate(columns)),
     )
     sums = [
@@ -41,7 +41,7 @@ def checksum_matrix(df: DataFrame, key: str, columns: list[str], buckets: int) -
             F.sum(F.shiftrightunsigned(f"h_{i}", 32)).alias(f"hi_{i}"),
         )
     ]
-    return hashed.groupBy("bucket").agg(F.count("*").alias("n"), *sums)
+    return hashed.groupBy("_bucket").agg(F.count("*").alias("n"), *sums)
 
 
 def table_diff(
@@ -65,24 +65,24 @@ def table_diff(
     left, right = (d.select(key, *columns).where(F.col(key).isNotNull()) for d in (left, right))
     buckets = max(64, min(max_buckets, max(left.count(), right.count()) // rows_per_bucket))
     a, b = (checksum_matrix(d, key, columns, buckets) for d in (left, right))
-    a = a.select("bucket", *(F.col(c).alias(f"a_{c}") for c in a.columns if c != "bucket"))
-    b = b.select("bucket", *(F.col(c).alias(f"b_{c}") for c in b.columns if c != "bucket"))
+    a = a.select("_bucket", *(F.col(c).alias(f"a_{c}") for c in a.columns if c != "_bucket"))
+    b = b.select("_bucket", *(F.col(c).alias(f"b_{c}") for c in b.columns if c != "_bucket"))
 
     def unequal(name: str) -> Column:
         return ~F.col(f"a_{name}").eqNullSafe(F.col(f"b_{name}"))
 
     cells = [F.when(unequal(f"lo_{i}") | unequal(f"hi_{i}"), F.lit(i)) for i in range(len(columns))]
     suspects = checkpointed(
-        a.join(b, "bucket", "full")
-        .select("bucket", unequal("n").alias("counts"), F.array_compact(F.array(*cells)).alias("cols"))
+        a.join(b, "_bucket", "full")
+        .select("_bucket", unequal("n").alias("counts"), F.array_compact(F.array(*cells)).alias("cols"))
         .where(F.col("counts") | (F.size("cols") > 0))
     )
     wanted = suspects.agg(F.array_distinct(F.flatten(F.collect_set("cols")))).first()[0] or []
     read = [columns[i] for i in sorted(wanted)]
-    suspects = suspects.select("bucket")
+    suspects = suspects.select("_bucket")
 
     def candidates(d: DataFrame, tag: str) -> DataFrame:
-        kept = d.select(key, *read, _bucket(key, buckets).alias("bucket")).join(suspects, "bucket", "left_semi")
+        kept = d.select(key, *read, _bucket(key, buckets).alias("_bucket")).join(suspects, "_bucket", "left_semi")
         once = kept.groupBy(key).agg(*(F.first(c).alias(f"{tag}{i}") for i, c in enumerate(read)), F.lit(True).alias(tag))
         return once.withColumnRenamed(key, "row_key")
 
