@@ -150,6 +150,8 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
             if TRIES[0].before(text, at, start) and not TRIES[1].before(text, at, start):
                 return False
             return not (before.isupper() and (at - 2 < start or not text[at - 2].isalnum()))
+    if following in "&+/=":
+        return False
     always, maybe, number = TRIES
     begins = _begins(text, nxt)
     if maybe.before(text, at, start):
