@@ -11,7 +11,7 @@ from trailmart.operators import gates, publish
 from trailmart.plans import dims, facts, marts
 from trailmart.plans.mart_queries import populations
 from trailmart.schema import OBJECTS, ObjectSpec
-from trailmart.session import table
+from trailmart.session import checkpointed, table
 
 
 def build_catalog(
@@ -57,9 +57,10 @@ def build_catalog(
 
 
 def catalog_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The lazy catalog over a data folder."""
+    """The catalog over a data folder: core facts written once, as many marts and gates read them, the rest lazy."""
     places = table(spark, folder, "processed_destinations").dropDuplicates(["srch_destination_id"])
-    return build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder))
+    keep = lambda spec, df: checkpointed(df) if spec.layer == "core" else df
+    return build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep)
 
 
 def build(spark: SparkSession, folder: str, out: str | Path, build_id: str) -> Path:

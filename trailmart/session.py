@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,5 +43,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
         if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="trailmart-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="trailmart-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
