@@ -15,7 +15,7 @@ def cell(x):
     if isinstance(x, decimal.Decimal):
         x = float(x)
     if isinstance(x, float):
-        return str(int(x)) if x == int(x) and abs(x) < 1e15 else f"{x:.10g}" if abs(x) != float("inf") else str(x)
+        return str(x) if abs(x) == float("inf") else str(int(x)) if x == int(x) and abs(x) < 1e15 else f"{x:.10g}"
     if isinstance(x, list):
         return str([cell(y) for y in x])
     return str(x)

@@ -142,7 +142,7 @@ def column_profile(df: DataFrame, load: str = "load_id", rules: dict[str, str] |
 
     ``std_difference`` is (mean of the load - mean of the rest) / sqrt of their mean variance, from
     exact sums of x and x^2 at six decimals; dates count as days and timestamps as seconds since
-    1970. NaN is a value, but in neither sums nor ranges. Text columns have text ranges instead. A
+    1970. NaN and infinities are values, but in neither sums nor ranges. Text columns have text ranges instead. A
     rule whose answer is null on a non-null value is broken. An empty table gives no rows. Distinct
     values are counted by 64-bit hash.
     """
@@ -157,7 +157,7 @@ def column_profile(df: DataFrame, load: str = "load_id", rules: dict[str, str] |
         if number is None:
             aggs += [F.min(F.col(f"`{c}`").cast("string")).alias(f"lo{i}"), F.max(F.col(f"`{c}`").cast("string")).alias(f"hi{i}")]
         else:
-            finite = F.when(~F.isnan(number), number)
+            finite = F.when(F.abs(number) < float("inf"), number)  # NaN is greater than all
             exact = finite.try_cast("decimal(18,6)")
             aggs += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}"), F.count(exact).alias(f"m{i}")]
             aggs += [F.sum(exact).alias(f"x{i}"), F.sum((exact * exact).cast("decimal(38,6)")).alias(f"xx{i}")]

@@ -162,7 +162,7 @@ def _p6_profile_sql() -> str:
             parts.append(f"select load_id, '{c}' as column_name, {c} is not null as filled, {value} as value, {text} as txt, {number} as num, {f'not coalesce({rule}, false)' if rule else 'false'} as broken from fct_hotel_interactions")
     return f"""
     with l as ({' union all '.join(parts)}),
-         f as (select *, case when not isnan(num) then num end as v, case when not isnan(num) then try_cast(num as decimal(18,6)) end as x from l),
+         f as (select *, case when isfinite(num) then num end as v, case when isfinite(num) then try_cast(num as decimal(18,6)) end as x from l),
          g as (select load_id, column_name, count(*) as row_count, 1 - count(*) filter (where filled) / count(*)::double as s, count(*) - count(*) filter (where filled) as gone, count(distinct value) as distinct_values,
                  min(v) as min_number, max(v) as max_number, min(txt) as min_text, max(txt) as max_text, count(*) filter (where filled and broken) as violations,
                  count(x) as m, sum(x) as sx, sum((x::decimal(19,6) * x)::decimal(38,6)) as sxx from f group by all),
