@@ -130,7 +130,22 @@ def forbidden_names(catalog: dict[str, DataFrame]) -> list[str]:
     """Names of marts and their columns that claim what the data cannot show (matched as parts of words)."""
     names = [n for n in catalog if n.startswith("dm_")]
     names += [f"{n}.{c}" for n in names for c in catalog[n].columns]
-    return [n for n in names if any(w in n for w in FORBIDDEN)]
+    return [n for n in names if any(w in n.lower() for w in FORBIDDEN)]
+
+
+def name_gates(catalog: dict[str, DataFrame]) -> list[DataFrame]:
+    one = next(iter(catalog.values())).sparkSession.range(1)
+    return [check(one, "names:forbidden", F.max(F.lit(len(forbidden_names(catalog)))), 0)]
+
+
+def staging_gates(reconciled: dict[str, DataFrame]) -> list[DataFrame]:
+    """Per source (``multiset_reconciliation``): raw rows are the accepted and quarantined ones, in number and in content."""
+    found = []
+    for name, df in reconciled.items():
+        rows = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        found.append(check(df, f"staging:{name}_rows", rows("output_count"), rows("raw_count")))
+        found.append(none_of(df, f"staging:{name}_multiset", ~F.col("reconciles")))
+    return found
 
 
 def threshold_gates(counts: DataFrame, ambiguity: DataFrame, contract: Contract = DEFAULT) -> list[DataFrame]:
@@ -139,8 +154,13 @@ def threshold_gates(counts: DataFrame, ambiguity: DataFrame, contract: Contract
     return [*rates, at_most(multi, "multimarket_rate", F.max("affected_share"), contract.maximum_multimarket_rate)]
 
 
-def all_gates(catalog: dict[str, DataFrame]) -> DataFrame:
-    parts = [*population_gates(catalog), *range_gates(catalog), *calendar_gates(catalog), *date_gates(catalog), *catalog_gates(catalog)]
+def all_gates(catalog: dict[str, DataFrame], reconciled: dict[str, DataFrame] | None = None, counts: DataFrame | None = None, contract: Contract = DEFAULT) -> DataFrame:
+    """Every gate of a catalog; with the reconciliations and counts of its staging also those of the sources and the contract's limits."""
+    parts = [*population_gates(catalog), *range_gates(catalog), *calendar_gates(catalog), *date_gates(catalog), *catalog_gates(catalog), *name_gates(catalog)]
+    if reconciled is not None:
+        parts += staging_gates(reconciled)
+    if counts is not None:
+        parts += threshold_gates(counts, catalog["dm_proxy_context_ambiguity"], contract)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,10 +7,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailmart.contract import DEFAULT, Contract
 from trailmart.operators import gates, publish
-from trailmart.plans import dims, facts, marts
+from trailmart.plans import dims, facts, marts, pipeline_queries, staging
 from trailmart.plans.mart_queries import populations
-from trailmart.schema import OBJECTS, ObjectSpec
+from trailmart.schema import DESTINATIONS, OBJECTS, TRAIN, ObjectSpec
 from trailmart.session import checkpointed, table
 
 
@@ -63,11 +64,28 @@ def catalog_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep)
 
 
-def build(spark: SparkSession, folder: str, out: str | Path, build_id: str) -> Path:
+def staged_of(spark: SparkSession, folder: str) -> dict[str, staging.Staged]:
+    return {"train": pipeline_queries.train(spark, folder), "destinations": pipeline_queries.destinations(spark, folder)}
+
+
+def checks(spark: SparkSession, folder: str, catalog: dict[str, DataFrame], staged: dict[str, staging.Staged], contract: Contract = DEFAULT) -> DataFrame:
+    """All gates of a build: those of the catalog, of the staging of its raw tables, and the contract's limits."""
+    reconciled = {}
+    for name, columns in (("train", TRAIN), ("destinations", DESTINATIONS)):
+        raw = staging.fingerprints(table(spark, folder, f"raw_{name}"), columns)
+        reconciled[name] = staging.multiset_reconciliation(raw, staged[name].accepted, staged[name].quarantine)
+    return gates.all_gates(catalog, reconciled, staging.population_counts(staged["train"], staged["destinations"]), contract)
+
+
+def checks_of(spark: SparkSession, folder: str, contract: Contract = DEFAULT) -> DataFrame:
+    return checks(spark, folder, catalog_of(spark, folder), staged_of(spark, folder), contract)
+
+
+def build(spark: SparkSession, folder: str, out: str | Path, build_id: str, contract: Contract = DEFAULT) -> Path:
     """Build, check and publish under ``out/build_id``; nothing is published if a gate fails."""
     with publish.Build(out, build_id) as target:
         places = table(spark, folder, "processed_destinations").dropDuplicates(["srch_destination_id"])
         keep = lambda spec, df: target.write(df, spec)
         catalog = build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep)
-        gates.require(gates.all_gates(catalog))
+        gates.require(checks(spark, folder, catalog, staged_of(spark, folder), contract))
     return target.final

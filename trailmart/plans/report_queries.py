@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart.functions.cells import read_cell
-from trailmart.operators import gates, profile
+from trailmart.operators import profile
 from trailmart.operators.rejects import TRAIN_FIELDS
 from trailmart.plans import analysis, bi
-from trailmart.plans.build import catalog_of
+from trailmart.plans.build import checks_of
 from trailmart.plans.mart_queries import QUERIES as M
 from trailmart.plans.mart_queries import SQL as S
 from trailmart.plans.problems import _cell
@@ -25,10 +25,6 @@ def train(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "train")
 
 
-def checked(spark: SparkSession, folder: str) -> DataFrame:
-    return gates.all_gates(catalog_of(spark, folder))
-
-
 def cluster() -> object:
     value = read_cell(F.col("hotel_cluster"), "smallint")
     return read_cell(F.col("date_time"), "timestamp_ntz").isNull() | ~value.between(0, 99)
@@ -50,8 +46,8 @@ QUERIES = {
     ),
     "cp1_table_checksum": lambda s, d: profile.checksum(train(s, d)),
     "cp2_fact_difference": lambda s, d: train(s, d).select(*COLUMNS).exceptAll(table(s, d, "processed_train").select(*COLUMNS)),
-    "qg_all_gates": checked,
-    "bi11_acceptance_status": lambda s, d: bi.acceptance_status(checked(s, d), "lazy"),
+    "qg_all_gates": checks_of,
+    "bi11_acceptance_status": lambda s, d: bi.acceptance_status(checks_of(s, d), "lazy"),
     "da2_overall": lambda s, d: analysis.overall(M["cf1_fct_hotel_interactions"](s, d)),
     "da3_month_dynamics": lambda s, d: analysis.month_dynamics(M["bm4_interaction_outcome_monthly"](s, d)),
     "da4_segment_summary": lambda s, d: analysis.segment_summary(M["bm10_segment_monthly"](s, d)),

@@ -69,6 +69,11 @@ def with_event_partitions(accepted: DataFrame) -> DataFrame:
     return accepted.withColumn("event_year", F.year("date_time").cast("smallint")).withColumn("event_month_num", F.month("date_time").cast("tinyint"))
 
 
+def fingerprints(raw: DataFrame, columns: tuple[ColumnSpec, ...]) -> DataFrame:
+    """The fingerprints of the raw rows themselves, to reconcile outputs with."""
+    return raw.select(row_fingerprint([c.name for c in columns]).alias("raw_row_fingerprint"))
+
+
 def multiset_reconciliation(raw: DataFrame, *outputs: DataFrame, key: str = "raw_row_fingerprint") -> DataFrame:
     """Per fingerprint the raw and output counts and whether they agree."""
     together = outputs[0].select(key)
