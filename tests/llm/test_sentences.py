@@ -76,6 +76,33 @@ def test_damage_and_length():
     assert len(sentences('"' * 5001 + "(" * 5000)) == 1
 
 
+@pytest.mark.parametrize(
+    "text, parts",
+    [
+        ("1. Check the key.\n2. Call the hotel.", ["1. Check the key.", "2. Call the hotel."]),
+        ("1. Check the key. 2. Call the hotel.", ["1. Check the key.", "2. Call the hotel."]),
+        ("1. Keys\n2. Towels", ["1. Keys", "2. Towels"]),
+        ("1.2. Scope\n1.3. Terms and\nmore\n2. Rest", ["1.2. Scope", "1.3. Terms and more", "2. Rest"]),
+        ("Please do:\n1. Check it.\n  a) now\n  b) or later\n2. Call.", ["Please do:", "1. Check it.", "a) now", "b) or later", "2. Call."]),
+        ("(i) One.\n(ii) Two.\n(iii) Three", ["(i) One.", "(ii) Two.", "(iii) Three"]),
+        ("i. One. It is.\nii. Two.", ["i. One.", "It is.", "ii. Two."]),
+        ("9. Nine\n10. Ten\n12. Not the next. So.", ["9. Nine", "10. Ten 12.", "Not the next.", "So."]),
+        ("Call ext.\n47. The hotel answers.", ["Call ext. 47.", "The hotel answers."]),
+        ("1. Call ext.\n2. The hotel answers.", ["1. Call ext. 2.", "The hotel answers."]),
+        ("We met\nA. Golpem and\nB. Mor.", ["We met A. Golpem and B. Mor."]),
+        ("We pay for room\n1. The other is free.", ["We pay for room 1.", "The other is free."]),
+        ("How many?\n5. And you?", ["How many?", "5.", "And you?"]),
+    ],
+)
+def test_list_levels(text, parts):
+    assert cut(text) == parts
+
+
+def test_many_items():
+    assert len(sentences("".join(f"{i % 999 + 1}. Item\n" for i in range(20_000)))) > 19_000
+    assert len(sentences("1. Keys.\na) Towels.\n" * 5_000)) == 10_000
+
+
 def test_table(spark, data):
     df = spark.createDataFrame([(1, "One two. Three.", "z"), (1, "One two. Three.", "z"), (2, None, "z"), (None, "Hi.", "z")], "doc_id long, text string, start_char string")
     rows = sorted(map(str, ((r["doc_id"], r["start_char"], r["end_char"]) for r in find_sentences(df).collect())))

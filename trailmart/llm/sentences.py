@@ -4,8 +4,9 @@ A mail is read down to its plain-text parts, those to blocks (runs of non-blank
 depth), and each block, its lines joined, is run through a pushdown automaton. The automaton moves from
 mark to mark: openers and closers of quotations and brackets push and pop, end marks of any script end
 a sentence unless the word before them is in the abbreviation trie or the mark is part of a number, a
-name or an unfinished quotation, and white space ends one where a script has no marks. Only marks are
-visited, so the cost follows their number.
+name or an unfinished quotation, and white space ends one where a script has no marks. Lists have levels
+of their own: an item number at the start of a line that continues an open list, or begins one, opens a
+sentence, and its dot ends none. Only marks and line starts are visited, so the cost follows their number.
 """
 
 from __future__ import annotations
@@ -70,7 +71,9 @@ EVENT = re.compile(
     rf"|(?P<end>[{re.escape(MARKS)}](?:[  ]?[{re.escape(MARKS)}])*)"
     rf"|(?P<thai>(?<={THAI}) +(?={THAI}))"
 )
-ITEM = re.compile(r"\(?(?:[0-9]{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)](?=\s)")
+ITEM = re.compile(r"(\(?)([0-9]{1,3}(?:\.[0-9]{1,3})*|[a-zA-Z]|[ivxIVX]{1,4})([.)])(?=\s)")
+ROMAN = {tens + ones: 10 * t + o for t, tens in enumerate(("", "x", "xx", "xxx")) for o, ones in enumerate(("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix"))}
+LEVELS = 64  # list levels kept open at most, the innermost ones
 SPACES = re.compile(r"\s*")
 
 
@@ -171,15 +174,69 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
     return True
 
 
-def split_block(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence of one block of text without line breaks."""
+#: A list marker: how it is written, and its number in each reading (digits, letter, Roman numeral).
+Marker = tuple[tuple[str, str], dict[str, tuple[int, ...]]]
+
+
+def _marker(item: re.Match) -> Marker:
+    opener, body, closer = item.groups()
+    if body[0].isdigit():
+        return (opener, closer), {"1": tuple(map(int, body.split(".")))}
+    case, small = ("a" if body.islower() else "A"), body.lower()
+    kinds = {case: (ord(small) - 96,)} if len(body) == 1 else {}
+    if small in ROMAN and (body.islower() or body.isupper()):
+        kinds["roman " + case] = (ROMAN[small],)
+    return (opener, closer), kinds
+
+
+def _following(old: Marker, new: Marker, gaps: bool = False) -> dict[str, tuple[int, ...]]:
+    """The readings in which a marker is the next of its list, or with ``gaps`` any later one."""
+
+    def follows(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
+        nexts = [(*a[:k], a[k] + 1) for k in range(len(a))]
+        return b in nexts or b == (*a, 1) or any(b == (*n, 1) for n in nexts) or (gaps and b > a)
+
+    if old[0] != new[0]:
+        return {}
+    return {k: b for k, b in new[1].items() if k in old[1] and follows(old[1][k], b)}
+
+
+def _first(marker: Marker) -> dict[str, tuple[int, ...]]:
+    return {k: n for k, n in marker[1].items() if n[-1] == 1}
+
+
+def split_block(text: str, lines: list[int] | None = None) -> list[tuple[int, int]]:
+    """Start and end of each sentence of one block of text without line breaks; ``lines`` are the places its lines began at."""
     size = len(text)
     found: list[tuple[int, int]] = []
-    start = SPACES.match(text).end()
-    item = ITEM.match(text, start)
-    guard = item.end() if item else start  # marks before it belong to an item number
+    start = guard = SPACES.match(text).end()  # marks before the guard belong to an item number
     stack: list[tuple[str, int]] = []  # expected closers and where they were opened
     pending = -1  # end of an end mark inside a quotation or brackets, only closers after it so far
+    levels: list[Marker] = []  # the last item of each list still open, outermost first
+    heads = [m for m in (ITEM.match(text, SPACES.match(text, a).end()) for a in (lines or [0])) if m]  # items at the starts of lines
+    carried: list[bool] = [False] * len(heads)  # whether the next item written alike is the next number
+    later: dict[tuple, Marker] = {}
+    for k in range(len(heads) - 1, -1, -1):
+        marker = _marker(heads[k])
+        alike = [(marker[0], kind) for kind in marker[1]]
+        carried[k] = any(a in later and _following(marker, later[a]) for a in alike)
+        later.update(dict.fromkeys(alike, marker))
+    head = 0
+
+    def continues(marker: Marker, gaps: bool) -> bool:
+        """Move the open lists on to an item that continues one of them; deeper ones end."""
+        for depth in range(len(levels) - 1, -1, -1):
+            kinds = _following(levels[depth], marker, gaps)
+            if kinds:
+                levels[depth:] = [(marker[0], kinds)]
+                return True
+        return False
+
+    def opens(marker: Marker) -> None:
+        if levels and levels[-1][0] == marker[0] and levels[-1][1].keys() == marker[1].keys():
+            levels.pop()
+        levels.append(marker)
+        del levels[:-LEVELS]
 
     def close(end: int) -> None:
         nonlocal start, guard, pending
@@ -187,6 +244,41 @@ def split_block(text: str) -> list[tuple[int, int]]:
         start = guard = SPACES.match(text, end).end()
         pending = -1
         stack.clear()
+        item = ITEM.match(text, start) if levels else None
+        if item and not (head < len(heads) and heads[head].start() == start) and continues(_marker(item), False):
+            guard = item.end()
+
+    def reach(at: int) -> None:
+        """Take up the items at starts of lines up to ``at``."""
+        nonlocal start, guard, head
+        while head < len(heads) and heads[head].start() <= at:
+            item, more = heads[head], carried[head]
+            head += 1
+            here, marker = item.start(), _marker(item)
+            if here < start or (here > start and (stack or here < guard)):
+                continue
+            if here == start:
+                if not found:
+                    opens(marker)
+                elif not continues(marker, True):
+                    if not _first(marker):
+                        continue
+                    opens((marker[0], _first(marker)))
+                guard = item.end()
+                continue
+            # within a sentence: letters with a dot are initials or abbreviations here
+            end = here
+            while text[end - 1].isspace():
+                end -= 1
+            if (item.group(3) == "." and not item.group(2)[0].isdigit()) or (text[end - 1] == "." and any(t.before(text, end - 1, start) for t in (TRIES[0], TRIES[2]))):
+                continue
+            if not continues(marker, False):
+                first = _first(marker)
+                if not first or not (more or text[end - 1] in ":："):
+                    continue
+                opens((marker[0], first))
+            close(end)
+            guard = item.end()
 
     def goes_on(nxt: int, opened: int) -> bool:
         """Whether the sentence goes on at ``nxt`` after a quotation or brackets that ended with a mark."""
@@ -207,6 +299,7 @@ def split_block(text: str) -> list[tuple[int, int]]:
 
     for event in EVENT.finditer(text):
         at, end, kind = event.start(), event.end(), event.lastgroup
+        reach(at)
         if at < guard:
             continue
         letter = event.group()
@@ -273,6 +366,7 @@ def split_block(text: str) -> list[tuple[int, int]]:
                 ends = at > start and not text[at - 1].isascii() or bool(LOWER_START.match(text, nxt))
         if ends:
             close(end)
+    reach(size)
     last = len(text.rstrip())
     if start < last:
         found.append((start, last))
@@ -385,7 +479,7 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
             for x, y in block:
                 places.append(at)
                 at += y - x + 1
-            for s, e in split_block(joined):
+            for s, e in split_block(joined, places):
                 i, j = bisect_right(places, s) - 1, bisect_right(places, e - 1) - 1
                 found.append((block[i][0] + s - places[i], block[j][0] + e - places[j]))
     return found
