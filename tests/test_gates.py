@@ -17,7 +17,8 @@ def rows(parts):
 @pytest.fixture(scope="module")
 def parts(spark, data):
     """The catalog and the staging of a folder, made once."""
-    return build.catalog_of(spark, data), build.staged_of(spark, data)
+    staged = build.staged_of(spark, data)
+    return build.catalog_of(spark, data, staged), staged
 
 
 def test_contract_limits_are_enforced(spark, data, parts):
@@ -50,3 +51,12 @@ def test_build_refuses_what_the_contract_forbids(spark, data, tmp_path):
         build.build(spark, data, tmp_path, "strict")
     assert not (tmp_path / "strict").exists()
     assert build.build(spark, data, tmp_path, "relaxed", Contract(maximum_quarantine_rate=0.1)).is_dir()
+
+
+def test_declared_objects_exist(parts):
+    catalog = parts[0]
+    assert set(catalog) == {o.name for o in build.OBJECTS}
+    rules = {r["quality_rule"] for r in catalog["dm_data_quality_summary"].collect()}
+    assert {"quarantined_train_rows", "trip_date_quality:plausible", "date_spine_calendar_days"} <= rules
+    without = gates.catalog_gates({n: df for n, df in catalog.items() if n != "quarantine_train"})[0]
+    assert [r["gate"] for r in without.where("not passed").collect()] == ["exists:quarantine_train"]

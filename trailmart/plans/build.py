@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailmart.contract import DEFAULT, Contract
 from trailmart.operators import gates, publish
@@ -16,9 +17,16 @@ from trailmart.session import checkpointed, table
 
 
 def build_catalog(
-    fact: DataFrame, destinations: DataFrame, populations_: dict[str, DataFrame], keep: Callable[[ObjectSpec, DataFrame], DataFrame] = lambda spec, df: df
+    fact: DataFrame,
+    destinations: DataFrame,
+    populations_: dict[str, DataFrame],
+    keep: Callable[[ObjectSpec, DataFrame], DataFrame] = lambda spec, df: df,
+    staged: dict[str, staging.Staged] | None = None,
 ) -> dict[str, DataFrame]:
-    """Facts, dimensions and marts by name; ``keep`` stores each and returns what later ones read."""
+    """Staging, facts, dimensions and marts by name; ``keep`` stores each and returns what later ones read.
+
+    Without ``staged`` the staging, quarantine and quality objects are absent, and their gates fail.
+    """
     specs = {s.name: s for s in OBJECTS}
     made: dict[str, DataFrame] = {}
 
@@ -26,10 +34,15 @@ def build_catalog(
         made[name] = keep(specs[name], df)
         return made[name]
 
+    if staged is not None:
+        add("stg_train_accepted", staging.with_event_partitions(staged["train"].accepted))
+        add("stg_destinations_accepted", staged["destinations"].accepted)
+        for name in ("train", "destinations"):
+            add(f"quarantine_{name}", staged[name].quarantine)
     fact = add("fct_hotel_interactions", fact)
     context = add("fct_proxy_search_contexts", facts.contexts(fact))
     days = add("fct_user_day", facts.user_days(context))
-    add("dim_date", dims.dim_date(fact))
+    dates = add("dim_date", dims.dim_date(fact))
     add("dim_origin", dims.dim_origin(fact))
     add("dim_destination", dims.dim_destination(destinations, fact))
     add("bridge_destination_hotel_market", dims.bridge_destination_market(fact))
@@ -54,38 +67,48 @@ def build_catalog(
     add("dm_proxy_context_ambiguity", marts.context_ambiguity(context))
     drift = add("dm_booking_population_drift", marts.population_drift(populations_))
     add("dm_booking_population_drift_summary", marts.drift_summary(drift, *populations_))
+    if staged is not None:
+        rules = marts.quality_summary(staging.population_counts(staged["train"], staged["destinations"]))
+        spine = dates.agg(F.count("*").alias("affected_rows")).select(
+            F.lit("date_spine_calendar_days").alias("quality_rule"), "affected_rows", F.col("affected_rows").alias("denominator_rows"), F.lit("info").alias("severity"), F.lit(1.0).alias("affected_share")
+        )
+        add("dm_data_quality_summary", rules.unionByName(marts.date_quality(fact)).unionByName(spine))
     return made
 
 
-def catalog_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The catalog over a data folder: core facts written once, as many marts and gates read them, the rest lazy."""
+def staged_of(spark: SparkSession, folder: str) -> dict[str, staging.Staged]:
+    return {"train": pipeline_queries.train(spark, folder), "destinations": pipeline_queries.destinations(spark, folder)}
+
+
+def _catalog(spark: SparkSession, folder: str, staged: dict[str, staging.Staged], keep: Callable[[ObjectSpec, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     places = table(spark, folder, "processed_destinations").dropDuplicates(["srch_destination_id"])
-    keep = lambda spec, df: checkpointed(df) if spec.layer == "core" else df
-    return build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep)
+    return build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep, staged)
 
 
-def staged_of(spark: SparkSession, folder: str) -> dict[str, staging.Staged]:
-    return {"train": pipeline_queries.train(spark, folder), "destinations": pipeline_queries.destinations(spark, folder)}
+def catalog_of(spark: SparkSession, folder: str, staged: dict[str, staging.Staged] | None = None) -> dict[str, DataFrame]:
+    """The catalog over a data folder: staging and core facts written once, as many marts and gates read them, the rest lazy."""
+    keep = lambda spec, df: checkpointed(df) if spec.layer in ("staging", "core") else df
+    return _catalog(spark, folder, staged or staged_of(spark, folder), keep)
 
 
 def checks(spark: SparkSession, folder: str, catalog: dict[str, DataFrame], staged: dict[str, staging.Staged], contract: Contract = DEFAULT) -> DataFrame:
-    """All gates of a build: those of the catalog, of the staging of its raw tables, and the contract's limits."""
+    """All gates of a build: those of the catalog, of its staged objects against the raw tables, and the contract's limits."""
     reconciled = {}
     for name, columns in (("train", TRAIN), ("destinations", DESTINATIONS)):
         raw = staging.fingerprints(table(spark, folder, f"raw_{name}"), columns)
-        reconciled[name] = staging.multiset_reconciliation(raw, staged[name].accepted, staged[name].quarantine)
+        reconciled[name] = staging.multiset_reconciliation(raw, catalog[f"stg_{name}_accepted"], catalog[f"quarantine_{name}"])
     return gates.all_gates(catalog, reconciled, staging.population_counts(staged["train"], staged["destinations"]), contract)
 
 
 def checks_of(spark: SparkSession, folder: str, contract: Contract = DEFAULT) -> DataFrame:
-    return checks(spark, folder, catalog_of(spark, folder), staged_of(spark, folder), contract)
+    staged = staged_of(spark, folder)
+    return checks(spark, folder, catalog_of(spark, folder, staged), staged, contract)
 
 
 def build(spark: SparkSession, folder: str, out: str | Path, build_id: str, contract: Contract = DEFAULT) -> Path:
     """Build, check and publish under ``out/build_id``; nothing is published if a gate fails."""
     with publish.Build(out, build_id) as target:
-        places = table(spark, folder, "processed_destinations").dropDuplicates(["srch_destination_id"])
-        keep = lambda spec, df: target.write(df, spec)
-        catalog = build_catalog(facts.interactions(table(spark, folder, "train")), places, populations(spark, folder), keep)
-        gates.require(checks(spark, folder, catalog, staged_of(spark, folder), contract))
+        staged = staged_of(spark, folder)
+        catalog = _catalog(spark, folder, staged, lambda spec, df: target.write(df, spec))
+        gates.require(checks(spark, folder, catalog, staged, contract))
     return target.final
