@@ -58,6 +58,10 @@ QUERIES = {
     "da9_booking_window_ranking": lambda s, d: analysis.ranked_cells(M["bm17_booking_window"](s, d)),
     "da10_destination_concentration": lambda s, d: analysis.concentration(M["bm11_destination_performance"](s, d), "srch_destination_id"),
     "da10_destination_distribution": lambda s, d: analysis.distribution(M["bm11_destination_performance"](s, d)),
+    "da10_market_concentration": lambda s, d: analysis.concentration(M["bm12_hotel_market_performance"](s, d), "hotel_market"),
+    "da10_market_distribution": lambda s, d: analysis.distribution(M["bm12_hotel_market_performance"](s, d)),
+    "da10_route_concentration": lambda s, d: analysis.concentration(M["bm14_origin_destination_routes"](s, d), "origin_id"),
+    "da10_route_distribution": lambda s, d: analysis.distribution(M["bm14_origin_destination_routes"](s, d)),
     "da11_candidate_months": lambda s, d: analysis.candidate_months(M["bm13_destination_monthly"](s, d), M["bm11_destination_performance"](s, d)),
     "da12_seasonality": lambda s, d: analysis.seasonality(M["bm16_checkin_seasonality"](s, d)),
     "da13_recurrence_by_age": lambda s, d: analysis.recurrence_by_age(M["am1_observed_recurrence"](s, d)),
@@ -114,7 +118,10 @@ SQL = {
     "cp2_fact_difference": f"select {', '.join(COLUMNS)} from train except all select {', '.join(COLUMNS)} from processed_train",
     **analysis.SQL(I, S, rate, wilson),
 }
-
+# markets and routes as destinations; which of equal entities comes first changes no share
+for _name, _mart, _keys in (("market", "bm12_hotel_market_performance", "hotel_market"), ("route", "bm14_origin_destination_routes", "origin_id, srch_destination_id")):
+    for _what in ("concentration", "distribution"):
+        SQL[f"da10_{_name}_{_what}"] = SQL[f"da10_destination_{_what}"].replace(S["bm11_destination_performance"], S[_mart]).replace("desc, srch_destination_id) as place", f"desc, {_keys}) as place")
 
 
 def queries() -> dict:
