@@ -12,6 +12,13 @@ def test_exact_medians(spark):
     assert {r["g"]: r["median"] for r in exact_medians(df, ["g"]).collect()} == {g: statistics.median(vs) for g, vs in values.items()}
 
 
+def test_medians_of_huge_values(spark):
+    values = [1.0, 2.0**47, 2.0**47 + 1, 2.0**50, 2.0**63, 2.0**64, 2.0**90, 1e300, -1e300]
+    for k in range(1, len(values) + 1):
+        df = spark.createDataFrame([(1, v, 1) for v in values[:k]], "g int, v double, c long")
+        assert exact_medians(df, ["g"]).first()["median"] == statistics.median(values[:k])
+
+
 def test_hot_value_weighs_its_count(spark):
     df = spark.createDataFrame([(1, 5.0, 1000), (1, 1.0, 3), (1, 9.0, 4)], "g int, v double, c long")
     assert exact_medians(df, ["g"]).first()["median"] == 5.0
