@@ -8,8 +8,10 @@ import os
 
 
 def cell(x):
-    if x is None or x != x:
+    if x is None:
         return "~"
+    if x != x:
+        return "nan"
     if isinstance(x, bool):
         return str(x)
     if isinstance(x, decimal.Decimal):

@@ -22,7 +22,7 @@ def interactions(accepted: DataFrame, contract: Contract = DEFAULT) -> DataFrame
     """One row per accepted row, with its calendar, keys, segments and plausibility flags.
 
     The id follows from the raw fingerprint and its occurrence where staging made them, else from the
-    scan ordinal.
+    scan ordinal. A distance that is no number (NaN) counts as missing here and in all that builds on it.
     """
     day = F.col("date_time").cast("date")
     lead = F.date_diff("srch_ci", day)
@@ -59,7 +59,8 @@ def interactions(accepted: DataFrame, contract: Contract = DEFAULT) -> DataFrame
         .otherwise("plausible")
     )
     keep = (
-        "site_name", "posa_continent", "user_location_country", "user_location_region", "user_location_city", "orig_destination_distance",
+        "site_name", "posa_continent", "user_location_country", "user_location_region", "user_location_city",
+        F.nanvl(F.col("orig_destination_distance").cast("double"), F.lit(None).cast("double")).alias("orig_destination_distance"),
         "user_id", "is_mobile", "is_package", "channel",
     )
     later = ("srch_destination_id", "srch_destination_type_id", "is_booking")

@@ -26,7 +26,7 @@ def weighted_interactions(accepted: DataFrame) -> DataFrame:
     fact = interactions(accepted)
     day, distance = F.col("event_date"), F.col("orig_destination_distance")
     band = (
-        F.when(distance.isNull() | F.isnan(distance), "missing")
+        F.when(distance.isNull(), "missing")
         .when(distance < 100, "0_100")
         .when(distance < 500, "100_500")
         .when(distance < 1000, "500_1000")

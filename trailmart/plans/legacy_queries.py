@@ -38,7 +38,7 @@ QUERIES = {
 
 F_ = f"""{I}, f as (select *, date_trunc('week', event_date)::date as event_week, hour(event_datetime)::tinyint as event_hour, greatest(coalesce(similar_event_count, 1), 1)::bigint as event_weight,
     case when is_booking = 1 then 'booking' else 'click' end as interaction_type,
-    case when orig_destination_distance is null or isnan(orig_destination_distance) then 'missing' when orig_destination_distance < 100 then '0_100' when orig_destination_distance < 500 then '100_500'
+    case when orig_destination_distance is null then 'missing' when orig_destination_distance < 100 then '0_100' when orig_destination_distance < 500 then '100_500'
          when orig_destination_distance < 1000 then '500_1000' when orig_destination_distance < 5000 then '1000_5000' else '5000_plus' end as distance_segment,
     {digest(*CONTEXT_KEYS)} as search_context_key from i)"""
 

@@ -12,7 +12,7 @@ from trailmart.plans import analysis, bi
 from trailmart.plans.build import checks_of
 from trailmart.plans.mart_queries import QUERIES as M
 from trailmart.plans.mart_queries import SQL as S
-from trailmart.plans.problems import _cell
+from trailmart.plans.problems import SPARK_KIND, _cell
 from trailmart.plans.sqltext import I, rate, wilson
 from trailmart.schema import LATENT, TRAIN
 from trailmart.session import table
@@ -25,6 +25,11 @@ def train(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "train")
 
 
+def typed_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """raw_train read as the types of processed_train: the other copy of the same table."""
+    return table(spark, folder, "raw_train").select("source_scan_ordinal", *(read_cell(F.col(n), SPARK_KIND[k]).alias(n) for n, k in TRAIN_FIELDS))
+
+
 def cluster() -> object:
     value = read_cell(F.col("hotel_cluster"), "smallint")
     return read_cell(F.col("date_time"), "timestamp_ntz").isNull() | ~value.between(0, 99)
@@ -45,7 +50,8 @@ QUERIES = {
         table(s, d, "raw_destinations"), table(s, d, "processed_destinations"), read_cell(F.col("srch_destination_id"), "int").isNull()
     ),
     "cp1_table_checksum": lambda s, d: profile.checksum(train(s, d)),
-    "cp2_fact_difference": lambda s, d: train(s, d).select(*COLUMNS).exceptAll(table(s, d, "processed_train").select(*COLUMNS)),
+    "cp1_portable_checksum": lambda s, d: profile.portable_checksum(train(s, d)),
+    "cp2_fact_difference": lambda s, d: profile.both_differences(typed_copy(s, d), table(s, d, "processed_train").select("source_scan_ordinal", *COLUMNS), "raw", "processed"),
     "qg_all_gates": checks_of,
     "bi11_acceptance_status": lambda s, d: bi.acceptance_status(checks_of(s, d), "lazy"),
     "da2_overall": lambda s, d: analysis.overall(M["cf1_fct_hotel_interactions"](s, d)),
@@ -85,6 +91,10 @@ def _read(name: str, kind: str) -> str:
     return _cell(name, kind).rpartition(" as ")[0]
 
 
+def _text(name: str, kind: str) -> str:
+    return f"try_cast({name} as decimal(38,9))::varchar" if kind == "float64" else f"strftime({name}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp" else f"{name}::varchar"
+
+
 def _reconcile(raw: str, processed: str, rejected: str) -> str:
     return f"""with r as (select count(*) as raw_rows, count(*) filter (where {rejected}) as rejected_rows from {raw}), p as (select count(*) as processed_rows from {processed})
       select *, raw_rows - processed_rows as raw_minus_processed, raw_rows - processed_rows = rejected_rows as reconciles, raw_rows = processed_rows as all_rows_preserved from r, p"""
@@ -115,7 +125,10 @@ SQL = {
     ),
     "re1_train_reconciliation": _reconcile("raw_train", "processed_train", f"{_read('date_time', 'timestamp')} is null or {_CLUSTER} is null or {_CLUSTER} not between 0 and 99"),
     "re2_destination_reconciliation": _reconcile("raw_destinations", "processed_destinations", f"{_read('srch_destination_id', 'int32')} is null"),
-    "cp2_fact_difference": f"select {', '.join(COLUMNS)} from train except all select {', '.join(COLUMNS)} from processed_train",
+    "cp1_portable_checksum": f"""with h as (select ('0x' || md5(concat_ws('|', {', '.join(f"coalesce({_text(n, k)}, '<NULL>')" for n, k in sorted([*TRAIN_FIELDS, ('source_scan_ordinal', 'int64')]))}))[1:15])::bigint as h from train)
+      select count(*) as rows, bit_xor(h) as xor, sum(h)::decimal(38,0) as total, min(h) as least, max(h) as greatest from h""",
+    "cp2_fact_difference": f"""with a as (select source_scan_ordinal, {', '.join(_cell(n, k) for n, k in TRAIN_FIELDS)} from raw_train), b as (select source_scan_ordinal, {', '.join(COLUMNS)} from processed_train)
+      select 'raw' as only_in, x.* from (from a except all from b) x union all select 'processed', x.* from (from b except all from a) x""",
     **analysis.SQL(I, S, rate, wilson),
 }
 # markets and routes as destinations; which of equal entities comes first changes no share

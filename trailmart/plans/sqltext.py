@@ -48,7 +48,8 @@ def interactions_cte(source: str = "train", identity: str | None = None) -> str:
     base as (select *, date_time::date as ed, datediff('day', date_time::date, srch_ci) as lead, datediff('day', srch_ci, srch_co) as stay from {source}),
     i as (select {identity} as interaction_id, date_time as event_datetime, ed as event_date, date_trunc('month', ed)::date as event_month,
       year(ed)::smallint as event_year, month(ed)::tinyint as event_month_num, isodow(ed)::tinyint as event_iso_day_of_week,
-      site_name, posa_continent, user_location_country, user_location_region, user_location_city, orig_destination_distance, user_id, is_mobile, is_package, channel,
+      site_name, posa_continent, user_location_country, user_location_region, user_location_city,
+      case when not isnan(orig_destination_distance) then orig_destination_distance end as orig_destination_distance, user_id, is_mobile, is_package, channel,
       {digest("user_location_country", "user_location_region", "user_location_city")} as origin_id,
       srch_ci as checkin_date, srch_co as checkout_date, lead::int as lead_time_days, stay::int as stay_nights, srch_adults_cnt, srch_children_cnt, srch_rm_cnt,
       coalesce(srch_adults_cnt, 0)::int + coalesce(srch_children_cnt, 0)::int as party_size, srch_destination_id, srch_destination_type_id, is_booking, cnt as similar_event_count,
