@@ -1,16 +1,17 @@
 """Loading delimited text while setting aside the lines that cannot be loaded, with every reason.
 
-Blocks of lines take a fast columnar path: a vectorised test of their shape, one pass of a native CSV
-reader, and checks of whole columns. A block that fails anywhere is bisected, recursively, until the
-failing lines stand alone (or in blocks of a few); only those are diagnosed strictly, field by field. The fast path accepts a block only
-if each of its lines would pass the strict one, so both give the same answer.
+Blocks of lines take a fast columnar path: a test of their bytes, one pass of a native CSV reader, and
+the conversion of whole columns. None of the three says which line is at fault; a block that fails one of
+them is bisected, recursively, until the failing lines stand alone, and only those are diagnosed strictly,
+field by field. The fast path accepts a block only if each of its lines would pass the strict one, so both
+give the same answer.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,102 +120,125 @@ def diagnose(line: str | None) -> tuple[list[object] | None, list[str]]:
     return (None, reasons) if reasons else (values, [])
 
 
-def _shape() -> str:
-    """A pattern of plain lines: unquoted or simply quoted fields that look like their types."""
-    looks = {"timestamp": "[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}", "date": "([0-9]{4}-[0-9]{2}-[0-9]{2})?", "float64": r"(-?[0-9]+(\.[0-9]+)?)?"}
-    fields = [looks.get(kind, "-?[0-9]+" if name in REQUIRED else "(-?[0-9]+)?") for name, kind in TRAIN_FIELDS]
-    return "^" + ",".join(f'({f}|"{f}")' for f in fields) + "$"
-
-
-SHAPE = _shape()
+WIDTH = len(TRAIN_FIELDS)
 NAMES = [name for name, _ in TRAIN_FIELDS]
-CONVERT = pacsv.ConvertOptions(
-    column_types={name: ARROW[kind] for name, kind in TRAIN_FIELDS}, null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True, timestamp_parsers=[pacsv.ISO8601]
-)
-
-
-def shapely(lines: pa.Array) -> np.ndarray:
-    """Which lines look plainly valid."""
-    return np.asarray(pc.fill_null(pc.match_substring_regex(lines, SHAPE), False))
-
-
-def parse_block(lines: pa.Array) -> pa.Table | None:
-    """The typed columns of a block, or None if any line is not plainly valid."""
-    return parse_shapely(lines) if shapely(lines).all() else None
-
-
-def parse_shapely(lines: pa.Array) -> pa.Table | None:
-    """The same for lines that look valid: dates may not exist, numbers not fit, flags be out of range."""
-    data = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_buffer()
-    try:
-        parsed = pacsv.read_csv(
-            pa.BufferReader(data), pacsv.ReadOptions(column_names=NAMES, use_threads=False), pacsv.ParseOptions(newlines_in_values=False, ignore_empty_lines=False), CONVERT
-        )
-    except pa.ArrowInvalid:
-        return None
-    if len(parsed) != len(lines):
-        return None
-    for name, (low, high) in DOMAINS.items():
-        ends = pc.min_max(parsed[name]).as_py()
-        if ends["min"] is not None and not low <= ends["min"] <= ends["max"] <= high:
-            return None
-    if parsed["date_time"].null_count or parsed["is_booking"].null_count:
-        return None
-    return parsed
-
-
+PLAIN = b'0123456789+-:,. "\n'  # the bytes a valid line may have
+AS_TEXT = pacsv.ConvertOptions(column_types=dict.fromkeys(NAMES, pa.string()), null_values=[], strings_can_be_null=False, quoted_strings_can_be_null=False)
+LAST = b",".join([b"0"] * WIDTH) + b"\n"  # read after each block: a quote left open by its last line would swallow it
 FIELDS = [pa.field(name, ARROW[kind]) for name, kind in TRAIN_FIELDS]
 OUT = pa.schema([pa.field("line_id", pa.int64()), *FIELDS, pa.field("reasons", pa.list_(pa.string()))])
 
 
-def _isolate(failing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bisect a block by the number of failing lines before each: positions in passing blocks, and those alone."""
-    before = np.r_[0, np.cumsum(failing)]
-    clean, alone, stack = [], [], [(0, len(failing))]
+def failing(size: int, passes: Callable[[int, int], bool]) -> list[int]:
+    """The records 0..size-1 that fail alone, found by bisecting: a block that passes is done, one that fails is halved."""
+    found, stack = [], [(0, size)]
     while stack:
         start, end = stack.pop()
-        if before[end] == before[start]:
-            clean.append(np.arange(start, end))
-        elif before[end] - before[start] == end - start:
-            alone.append(np.arange(start, end))
+        if start == end or passes(start, end):
+            continue
+        if end - start == 1:
+            found.append(start)
         else:
             half = (start + end) // 2
             stack += [(half, end), (start, half)]
-    join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-    return join(clean), join(alone)
-
-
-def _diagnosed(ids: pa.Array, lines: pa.Array) -> pa.RecordBatch:
-    rows = [diagnose(x) for x in lines.to_pylist()]
-    columns = [pa.array([v[i] if v else None for v, _ in rows], f.type) for i, f in enumerate(FIELDS)]
-    return pa.RecordBatch.from_arrays([ids, *columns, pa.array([r for _, r in rows], pa.list_(pa.string()))], schema=OUT)
-
-
-def _resolve(ids: pa.Array, lines: pa.Array, leaf: int) -> Iterator[pa.RecordBatch]:
-    """Batches of the result. Lines that do not look valid are isolated first; the passing blocks, put
-    together, are parsed at once, and where that fails halved until the failing lines are few."""
-    clean, alone = _isolate(~shapely(lines))
-    if len(alone):
-        yield _diagnosed(ids.take(pa.array(alone)), lines.take(pa.array(alone)))
-    if not len(clean):
-        return
-    if len(alone):
-        ids, lines = ids.take(pa.array(clean)), lines.take(pa.array(clean))
-    stack = [(0, len(lines))]
-    while stack:
-        start, size = stack.pop()
-        part = lines.slice(start, size)
-        if (parsed := parse_shapely(part)) is not None:
-            empty = pa.ListArray.from_arrays(pa.array(np.zeros(size + 1, np.int32)), pa.array([], pa.string()))
-            yield from pa.Table.from_arrays([ids.slice(start, size), *parsed.columns, empty], schema=OUT).to_batches()
-        elif size > leaf:
-            half = size // 2
-            stack += [(start + half, size - half), (start, half)]
-        else:
-            yield _diagnosed(ids.slice(start, size), part)
+    return found
+
+
+class Block:
+    """Lines as one buffer, in which a range of lines can be tested and cut into fields at once."""
+
+    def __init__(self, lines: pa.Array) -> None:
+        lines = pc.fill_null(lines, "")
+        self.data = b"\n" + (pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_buffer().to_pybytes() if len(lines) else b"") + b"\n"
+        self.starts = np.r_[0, np.cumsum(np.asarray(pc.binary_length(lines), np.int64) + 1)].tolist()  # of the line ends before each line
+
+    def plain(self, start: int, end: int) -> bool:
+        """Whether the lines, taken together, have the bytes, the commas and the quotes of valid ones."""
+        low, high = self.starts[start], self.starts[end] + 1
+        cut, lines = self.data[low:high], end - start
+        if cut.count(b",") != (WIDTH - 1) * lines or cut.count(b"\n") != lines + 1 or cut.translate(None, PLAIN):
+            return False
+        quotes = cut.count(b'"')
+        return not quotes or quotes == cut.count(b',"') + cut.count(b'\n"') + cut.count(b'",') + cut.count(b'"\n')
+
+    def fields(self, start: int, end: int) -> list[pa.Array] | None:
+        """The fields by column, stripped and null where empty, or None if a line has not all of them."""
+        cut = self.data[self.starts[start] + 1 : self.starts[end] + 1] + LAST
+        try:
+            read = pacsv.read_csv(pa.BufferReader(cut), pacsv.ReadOptions(column_names=NAMES, use_threads=False, block_size=len(cut)), pacsv.ParseOptions(newlines_in_values=False, ignore_empty_lines=False), AS_TEXT)
+        except pa.ArrowInvalid:
+            return None
+        if len(read) != end - start + 1:
+            return None
+        stripped = [pc.ascii_trim(c.slice(0, end - start).combine_chunks(), " ") for c in read.columns]
+        return [pc.if_else(pc.equal(c, ""), pa.scalar(None, pa.string()), c) for c in stripped]
 
 
-def parse_lines(df: DataFrame, line_id: str = "line_id", line: str = "raw_line", block: int = 4096, leaf: int = 8) -> DataFrame:
+def convert(texts: pa.Array, name: str, kind: str) -> pa.Array | None:
+    """The typed column, or None if any of its texts is no valid value."""
+    if name in REQUIRED and texts.null_count:
+        return None
+    if kind == "timestamp" and not pc.all(pc.equal(pc.binary_length(texts), 19), min_count=0).as_py():
+        return None
+    if kind == "float64" and not pc.all(pc.match_substring_regex(texts, r"^-?[0-9]+(\.[0-9]+)?$"), min_count=0).as_py():
+        return None
+    try:
+        values = pc.cast(texts, ARROW[kind])
+    except pa.ArrowInvalid:
+        return None
+    if name in DOMAINS:
+        ends = pc.min_max(values).as_py()
+        if ends["min"] is not None and not DOMAINS[name][0] <= ends["min"] <= ends["max"] <= DOMAINS[name][1]:
+            return None
+    return values
+
+
+def bulk_parse(lines: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """Which lines failed, and the typed columns of the others.
+
+    The three steps of the fast path each take the whole block: the bytes of the lines, their fields, and one column after
+    the other. Where a step fails it is bisected; what it isolated is left out of the next.
+    """
+    good = np.arange(len(lines))
+
+    def without(bad: list[int]) -> None:
+        nonlocal good
+        good = np.delete(good, bad)
+
+    block = Block(lines)
+    without(failing(len(good), block.plain))
+    if len(good) < len(lines):
+        block = Block(lines.take(pa.array(good)))
+    if (columns := block.fields(0, len(good))) is None:
+        without(failing(len(good), lambda a, b: block.fields(a, b) is not None))
+        columns = Block(lines.take(pa.array(good))).fields(0, len(good))
+        assert columns is not None
+    bad: set[int] = set()
+    for texts, (name, kind) in zip(columns, TRAIN_FIELDS, strict=True):
+        bad.update(failing(len(texts), lambda a, b: convert(texts.slice(a, b - a), name, kind) is not None))  # noqa: B023
+    if bad:
+        kept = pa.array(np.delete(np.arange(len(good)), sorted(bad)))
+        columns = [c.take(kept) for c in columns]
+        without(sorted(bad))
+    failed = np.ones(len(lines), bool)
+    failed[good] = False
+    return failed, [pc.cast(c, ARROW[kind]) for c, (_, kind) in zip(columns, TRAIN_FIELDS, strict=True)]
+
+
+def _resolve(ids: pa.Array, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Batches of the result: the lines that parsed in bulk, and those that did not, diagnosed strictly."""
+    failed, columns = bulk_parse(lines)
+    loaded = len(lines) - int(failed.sum())
+    if loaded:
+        none = pa.ListArray.from_arrays(pa.array(np.zeros(loaded + 1, np.int32)), pa.array([], pa.string()))
+        yield pa.RecordBatch.from_arrays([ids.filter(pa.array(~failed)), *columns, none], schema=OUT)
+    if loaded < len(lines):
+        rows = [diagnose(x) for x in lines.filter(pa.array(failed)).to_pylist()]
+        typed = [pa.array([v[i] if v else None for v, _ in rows], f.type) for i, f in enumerate(FIELDS)]
+        yield pa.RecordBatch.from_arrays([ids.filter(pa.array(failed)), *typed, pa.array([r for _, r in rows], pa.list_(pa.string()))], schema=OUT)
+
+
+def parse_lines(df: DataFrame, line_id: str = "line_id", line: str = "raw_line", block: int = 4096) -> DataFrame:
     """One row per line: line_id, the typed columns (all null if rejected) and ``reasons`` (empty if loaded).
 
     A null or empty line has too few columns. Spaces around an unquoted or quoted value are dropped.
@@ -225,9 +249,7 @@ def parse_lines(df: DataFrame, line_id: str = "line_id", line: str = "raw_line",
         for batch in batches:
             for start in range(0, len(batch), block):
                 cut = batch.slice(start, block)
-                found = list(_resolve(cut.column(0).cast(pa.int64()), cut.column(1), leaf))
-                if found:
-                    yield from pa.Table.from_batches(found, OUT).combine_chunks().to_batches()
+                yield from _resolve(cut.column(0).cast(pa.int64()), cut.column(1))
 
     schema = T.StructType(
         [T.StructField("line_id", T.LongType()), *(T.StructField(n, SPARK[k]) for n, k in TRAIN_FIELDS), T.StructField("reasons", T.ArrayType(T.StringType()))]
