@@ -1,7 +1,12 @@
+import math
 import random
 import statistics
+from fractions import Fraction
 
-from trailmart.operators.quality import column_profile, exact_medians, load_departures
+import pytest
+from pyspark.sql import functions as F
+
+from trailmart.operators.quality import Series, column_profile, exact_medians, load_departures, moments, power_sums, value_counts
 from trailmart.session import table
 
 
@@ -19,6 +24,53 @@ def test_medians_of_huge_values(spark):
         assert exact_medians(df, ["g"]).first()["median"] == statistics.median(values[:k])
 
 
+def test_a_wrong_bracket_changes_no_median(spark):
+    values = [float(i * i) for i in range(101)]
+    df = spark.createDataFrame([(1, v, 1) for v in values], "g int, v double, c long")
+    for low, high in ((2400.0, 2600.0), (-9.0, -8.0), (1e6, 1e7), (0.0, 1.0), (2500.0, 2500.0), (None, None)):
+        brackets = spark.createDataFrame([(1, low, high)], "g int, low double, high double")
+        assert exact_medians(df, ["g"], brackets=brackets).first()["median"] == 2500.0
+
+
+LOADS = {
+    1: [1.0, 2.0, 5e12], 2: [1e-9, 2e-9], 3: [1e18, -1e18, 1.0], 4: [0.1] * 7, 5: [5e-324, 1.7e308, -1.7e308, 2.0**30, 2.0**30 - 2.0**-22], 6: [0.0, -0.0, float("nan"), float("inf")],
+    7: [math.pi * 10**k for k in range(-20, 20)],
+}
+
+
+def test_power_sums_are_exact(spark):
+    """Huge, tiny and cancelling values, against rational arithmetic."""
+    df = spark.createDataFrame([(g, v) for g, vs in LOADS.items() for v in vs], "load_id int, v double")
+    found = {r["load"][1:]: r for r in moments(power_sums(value_counts(df, "load_id", [Series("v", F.col("v"), F.col("v"))]), "c")).collect()}
+    exact = {g: [Fraction(v) for v in vs if math.isfinite(v)] for g, vs in LOADS.items()}
+    for g, vs in exact.items():
+        rest = [v for h, ws in exact.items() if h != g for v in ws]
+        mean, other = sum(vs) / len(vs), sum(rest) / len(rest)
+        variance = sum((v - mean) ** 2 for v in vs) / len(vs)
+        spread = (variance + sum((v - other) ** 2 for v in rest) / len(rest)) / 2
+        row = found[str(g)]
+        assert row["m"] == len(vs) and row["mean"] == float(mean)
+        assert row["std_difference"] == pytest.approx(float((mean - other) ** 2 / spread) ** 0.5 * (1 if mean >= other else -1), abs=2e-6)
+        if variance < 10**300:
+            assert row["deviation"] == pytest.approx(float(variance) ** 0.5, rel=1e-12)
+
+
+def test_power_sums_combine(spark):
+    df = spark.createDataFrame([(g, v) for g, vs in LOADS.items() for v in vs], "load_id int, v double")
+    series = [Series("v", F.col("v"), F.col("v"))]
+    whole = power_sums(value_counts(df, "load_id", series), "c")
+    halves = [power_sums(value_counts(df.where(f"pmod(hash(v), 2) = {k}"), "load_id", series), "c") for k in (0, 1)]
+    added = halves[0].unionByName(halves[1]).groupBy("load", "i", "band").agg(*(F.sum(c).alias(c) for c in whole.columns[3:]))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, added.collect()))
+
+
+def test_large_and_small_loads_are_profiled(spark):
+    df = spark.createDataFrame([(g, v) for g, vs in LOADS.items() for v in vs], "load_id int, v double")
+    rows = {r["load_id"]: r for r in column_profile(df, rules={}).collect()}
+    assert rows[1]["mean"] == float(Fraction(5 * 10**12 + 3) / 3) and rows[2]["mean"] == float((Fraction(1e-9) + Fraction(2e-9)) / 2)
+    assert rows[3]["mean"] == float(Fraction(1, 3)) and rows[6]["distinct_values"] == 3 and rows[6]["max_number"] == 0.0
+
+
 def test_hot_value_weighs_its_count(spark):
     df = spark.createDataFrame([(1, 5.0, 1000), (1, 1.0, 3), (1, 9.0, 4)], "g int, v double, c long")
     assert exact_medians(df, ["g"]).first()["median"] == 5.0

@@ -162,14 +162,14 @@ def _p6_profile_sql() -> str:
             parts.append(f"select load_id, '{c}' as column_name, {c} is not null as filled, {value} as value, {text} as txt, {number} as num, {f'not coalesce({rule}, false)' if rule else 'false'} as broken from fct_hotel_interactions")
     return f"""
     with l as ({' union all '.join(parts)}),
-         f as (select *, case when isfinite(num) then num end as v, case when isfinite(num) then try_cast(num as decimal(18,6)) end as x from l),
-         g as (select load_id, column_name, count(*) as row_count, 1 - count(*) filter (where filled) / count(*)::double as s, count(*) - count(*) filter (where filled) as gone, count(distinct value) as distinct_values,
+         f as (select *, case when isfinite(num) then num end as v from l),
+         g as (select load_id, column_name, count(*) as row_count, count(*) - count(*) filter (where filled) as gone, count(distinct value) as distinct_values,
                  min(v) as min_number, max(v) as max_number, min(txt) as min_text, max(txt) as max_text, count(*) filter (where filled and broken) as violations,
-                 count(x) as m, sum(x) as sx, sum((x::decimal(19,6) * x)::decimal(38,6)) as sxx from f group by all),
-         h as (select *, sum(m) over w - m as rm, (sum(sx) over w - coalesce(sx, 0))::double as rx, (sum(sxx) over w - coalesce(sxx, 0))::double as rxx from g window w as (partition by column_name)),
-         d as (select *, sx::double / nullif(m, 0) as mean, rx / nullif(rm, 0) as rest, sxx::double / nullif(m, 0) - (sx::double / nullif(m, 0)) * (sx::double / nullif(m, 0)) as var,
-                 rxx / nullif(rm, 0) - (rx / nullif(rm, 0)) * (rx / nullif(rm, 0)) as rest_var from h),
-         e as (select *, sqrt((greatest(var, 0.0::double) + greatest(rest_var, 0.0::double)) / 2) as spread from d)
+                 count(v) as m, avg(v) as mean, var_pop(v) as var from f group by all),
+         h as (select a.load_id, a.column_name, sum(b.m) as rm, sum(b.m * b.mean) / nullif(sum(b.m), 0) as rest from g a join g b on a.column_name = b.column_name and a.load_id is distinct from b.load_id group by all),
+         d as (select h.*, sum(b.m * b.var + b.m * (b.mean - rest) * (b.mean - rest)) / nullif(any_value(rm), 0) as rest_var
+                 from h join g b on h.column_name = b.column_name and h.load_id is distinct from b.load_id group by all),
+         e as (select g.*, rm, rest, sqrt((var + rest_var) / 2) as spread from g left join d on g.load_id is not distinct from d.load_id and g.column_name = d.column_name)
     select load_id::bigint as load_id, column_name, row_count, gone::double / row_count as null_share, distinct_values, min_number, max_number, min_text, max_text, violations, mean,
       case when rm > 0 and mean is not null and spread > 0 then round((mean - rest) / spread, 6) end as std_difference from e"""
 
