@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from trailmart.functions.cells import DATE, DECIMAL, INTEGER, TIMESTAMP, read_cell
 from trailmart.operators.diff import table_diff
-from trailmart.operators.features import entity_features
+from trailmart.operators.features import entity_features, last_day, merged_features, partial_features
 from trailmart.operators.quality import RULES, column_profile, load_departures
 from trailmart.operators.rejects import TRAIN_FIELDS, accepted, parse_lines, rejected
 from trailmart.operators.sessions import sessionize
-from trailmart.session import table
+from trailmart.session import checkpointed, table
 
 SQL_KIND = {"timestamp": "TIMESTAMP", "date": "DATE", "float64": "DOUBLE", "int8": "TINYINT", "int16": "SMALLINT", "int32": "INTEGER", "int64": "BIGINT"}
 SPARK_KIND = {"timestamp": "timestamp_ntz", "date": "date", "float64": "double", "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint"}
@@ -39,10 +39,18 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return events.withColumn("dataset", F.lit("train")).unionByName(places.withColumn("dataset", F.lit("destinations"))).select("dataset", "row_key", "field", "kind")
 
 
+EVENT_TYPE = "hotel_cluster * 2 + is_booking"
+
+
 def p5_features(spark: SparkSession, folder: str) -> DataFrame:
-    return entity_features(
-        table(spark, folder, "fct_hotel_interactions"), "user_id", "hotel_cluster * 2 + is_booking", EVENT_TYPES, "event_date", "similar_event_count", "interaction_id"
-    )
+    return entity_features(table(spark, folder, "fct_hotel_interactions"), "user_id", EVENT_TYPE, EVENT_TYPES, "event_date", "similar_event_count", "interaction_id")
+
+
+def p5_features_of_stored_months(spark: SparkSession, folder: str) -> DataFrame:
+    """The features of the events of 2014 alone, from stored monthly partial results of all events."""
+    events = table(spark, folder, "fct_hotel_interactions")
+    stored = checkpointed(partial_features(events, "user_id", EVENT_TYPE, EVENT_TYPES, "event_date", "similar_event_count", "interaction_id"))
+    return merged_features(stored.where("part >= date'2014-01-01' and part < date'2015-01-01'"), "user_id", EVENT_TYPES, last_day(events, "event_date"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +70,7 @@ def p7_loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_sessions, p4_found, p5_features, p6_found, p6_profile, p7_found, p7_loaded)}
+    return {f.__name__: f for f in (p2_found, p2_sessions, p4_found, p5_features, p5_features_of_stored_months, p6_found, p6_profile, p7_found, p7_loaded)}
 
 
 SESSIONS = """
@@ -214,6 +222,8 @@ def oracle_sql() -> dict[str, str]:
         "p2_sessions": f"{SESSIONS} select *, (epoch_us(session_end) - epoch_us(session_start)) / 1e6 as duration_seconds from sessions",
         "p4_found": _p4_sql(),
         "p5_features": P5,
+        "p5_features_of_stored_months": P5.replace("     cells as", "     kept as (select * from events where d >= date '2014-01-01' and d < date '2015-01-01'),\n     cells as")
+        .replace("total from events where", "total from kept where").replace("(select distinct user_id from events", "(select distinct user_id from kept"),
         "p6_found": P6_FOUND,
         "p6_profile": _p6_profile_sql(),
         "p7_found": _p7_sql(),
