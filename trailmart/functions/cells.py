@@ -25,10 +25,11 @@ def read_cell(cell: Column, kind: str) -> Column:
     decimals may have fraction and exponent, dates and times must exist in the calendar.
     """
     text = F.trim(cell)
+    # of these characters alone the casts read just what the patterns above allow, and a translation costs less than a match
     if kind in INTEGERS:
-        return F.when(text.rlike(INTEGER), text.try_cast(kind))
+        return F.when(F.translate(text, "0123456789+-", "") == "", text.try_cast(kind))
     if kind in ("float", "double"):
-        return F.when(text.rlike(DECIMAL), text.try_cast(kind))
+        return F.when(F.translate(text, "0123456789+-.eE", "") == "", text.try_cast(kind))
     if kind == "date":
         return F.when(text.rlike(DATE), text.try_cast("date"))
     if kind == "timestamp_ntz":

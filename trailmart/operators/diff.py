@@ -1,9 +1,10 @@
 """Differences between two copies of a table by a column-by-bucket checksum matrix.
 
-Every row adds, for each column, a hash of (column, key, value) to the cell of its key's bucket.
-The sums are additive and mergeable, so each side is reduced map-side to the matrix, and only the
-matrix is shuffled. Equal cells mean equal contents; only the rows of unequal buckets, and only the
-columns unequal in any of them, are read again, made unique by key and joined.
+Every row adds, for each column, a hash of (column, key, value) to the cell of its key's bucket. The sums
+are additive and mergeable. They are taken in two steps: the margin of the matrix first, one hash of the
+whole row per bucket, then its columns for the buckets whose margins differ. Equal cells mean equal
+contents; only the rows of unequal buckets, and of them only the columns unequal in their bucket, are made
+unique by key and joined.
 
 A sum is kept as two sums of 32-bit halves of a 64-bit hash: none overflows below 2^31 rows a
 bucket, and together they are as wide as 126 bits. Repeated rows change the sums of their bucket,
@@ -12,89 +13,120 @@ which only makes the bucket a candidate; the join then decides exactly.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.session import checkpointed
 
 LOW = 0xFFFFFFFF
+WIDE = 40  # columns of the matrix summed at once: more fields than 100 would leave generated code
 
 
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("bucket"), F.col(key)), F.lit(buckets))
 
 
+def _halves(value: Column, name: str) -> list[Column]:
+    return [F.sum(value.bitwiseAND(F.lit(LOW))).alias(f"lo_{name}"), F.sum(F.shiftrightunsigned(value, 32)).alias(f"hi_{name}")]
+
+
+def _row_hash(key: str, columns: list[str]) -> Column:
+    """A hash of the whole row. Hashing skips nulls, so the place of each column is hashed before its value."""
+    return F.xxhash64(F.col(key), *(x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))))
+
+
+def checksum_margin(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
+    """One row per non-empty bucket: _bucket, n, and the sums lo_row and hi_row of the row hashes."""
+    hashed = df.select(_bucket(key, buckets).alias("_bucket"), _row_hash(key, columns).alias("h"))
+    return hashed.groupBy("_bucket").agg(F.count("*").alias("n"), *_halves(F.col("h"), "row"))
+
+
 def checksum_matrix(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
     """One row per non-empty bucket: _bucket, n, and the sums lo_i and hi_i of each column.
 
     Matrices of disjoint parts of a table combine by adding their cells.
     """
-    hashed = df.select(
-        _bucket(key, buckets).alias("_bucket"),
-        *(F.xxhash64(F.lit(c), F.col(key), F.col(c)).alias(f"h_{i}") for i, c in enumerate(columns)),
-    )
-    sums = [
-        part
-        for i in range(len(columns))
-        for part in (
-            F.sum(F.col(f"h_{i}").bitwiseAND(F.lit(LOW))).alias(f"lo_{i}"),
-            F.sum(F.shiftrightunsigned(f"h_{i}", 32)).alias(f"hi_{i}"),
-        )
-    ]
-    return hashed.groupBy("_bucket").agg(F.count("*").alias("n"), *sums)
-
-
-def table_diff(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    columns: list[str],
-    left_name: str,
-    right_name: str,
-    rows_per_bucket: int = 16,
-    max_buckets: int = 1 << 22,
-) -> DataFrame:
+    sums = [part for i, c in enumerate(columns) for part in _halves(F.xxhash64(F.lit(c), F.col(key), F.col(c)), str(i))]
+    return df.groupBy(_bucket(key, buckets).alias("_bucket")).agg(F.count("*").alias("n"), *sums)
+
+
+def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two matrices side by side: the columns of each with a_ and b_ before their names."""
+    a, b = (m.select("_bucket", *(F.col(c).alias(f"{tag}_{c}") for c in m.columns if c != "_bucket")) for m, tag in ((a, "a"), (b, "b")))
+    return a.join(b, "_bucket", "full")
+
+
+def _unequal(*names: str) -> Column:
+    return reduce(Column.__or__, (~F.col(f"a_{n}").eqNullSafe(F.col(f"b_{n}")) for n in names))
+
+
+def table_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str], left_name: str, right_name: str, rows_per_bucket: int = 4) -> DataFrame:
     """One row per difference: row_key, field, kind.
 
     ``kind`` is ``missing_in_<name>`` with an empty field, or ``value`` with the column's name.
     Both sides must have the same types. Nulls equal nulls, NaN equals NaN. Rows without a key are
-    left out. Rows of one key within a side are taken to be identical and count once. Columns not
-    listed are ignored. Two empty tables give no rows. ``max_buckets`` bounds the matrix, not
-    the data: beyond it buckets just hold more rows.
+    left out. Identical rows of one key within a side count once; where rows of one key differ within a
+    side, each field they differ in is reported as ``conflict_in_<name>`` and not compared. Columns not
+    listed are ignored. Two empty tables give no rows.
     """
     left, right = (d.select(key, *columns).where(F.col(key).isNotNull()) for d in (left, right))
-    buckets = max(64, min(max_buckets, max(left.count(), right.count()) // rows_per_bucket))
-    a, b = (checksum_matrix(d, key, columns, buckets) for d in (left, right))
-    a = a.select("_bucket", *(F.col(c).alias(f"a_{c}") for c in a.columns if c != "_bucket"))
-    b = b.select("_bucket", *(F.col(c).alias(f"b_{c}") for c in b.columns if c != "_bucket"))
-
-    def unequal(name: str) -> Column:
-        return ~F.col(f"a_{name}").eqNullSafe(F.col(f"b_{name}"))
-
-    cells = [F.when(unequal(f"lo_{i}") | unequal(f"hi_{i}"), F.lit(i)) for i in range(len(columns))]
-    suspects = checkpointed(
-        a.join(b, "_bucket", "full")
-        .select("_bucket", unequal("n").alias("counts"), F.array_compact(F.array(*cells)).alias("cols"))
-        .where(F.col("counts") | (F.size("cols") > 0))
+    buckets = max(64, max(left.count(), right.count()) // rows_per_bucket)
+    margins = _beside(*(checksum_margin(d, key, columns, buckets) for d in (left, right)))
+    suspects = checkpointed(margins.where(_unequal("n", "lo_row", "hi_row")).select("_bucket"))
+    # the rows of unequal buckets: a part of the data, read twice more
+    left, right = (
+        checkpointed(d.withColumn("_bucket", _bucket(key, buckets)).join(suspects, "_bucket", "left_semi").select("_bucket", key, *columns, _row_hash(key, columns).alias("_hash"))) for d in (left, right)
     )
-    wanted = suspects.agg(F.array_distinct(F.flatten(F.collect_set("cols")))).first()[0] or []
-    read = [columns[i] for i in sorted(wanted)]
-    suspects = suspects.select("_bucket")
+
+    located = []
+    for start in range(0, len(columns), WIDE):
+        some = columns[start : start + WIDE]
+        cells = [F.when(_unequal(f"lo_{i}", f"hi_{i}"), F.lit(start + i)) for i in range(len(some))]
+        both = _beside(*(checksum_matrix(d, key, some, buckets) for d in (left, right)))
+        located.append(both.select("_bucket", F.array_compact(F.array(*cells)).alias("cells")).where(F.size("cells") > 0))
+    located = checkpointed(reduce(DataFrame.unionByName, located).groupBy("_bucket").agg(F.flatten(F.collect_list("cells")).alias("cells")))
 
     def candidates(d: DataFrame, tag: str) -> DataFrame:
-        kept = d.select(key, *read, _bucket(key, buckets).alias("_bucket")).join(suspects, "_bucket", "left_semi")
-        once = kept.groupBy(key).agg(*(F.first(c).alias(f"{tag}{i}") for i, c in enumerate(read)), F.lit(True).alias(tag))
-        return once.withColumnRenamed(key, "row_key")
-
-    both = candidates(left, "x").join(candidates(right, "y"), "row_key", "full")
-    none = F.array().cast("array<struct<field:string,kind:string>>")
-    fields = [
-        F.when(~F.col(f"x{i}").eqNullSafe(F.col(f"y{i}")), F.struct(F.lit(c).alias("field"), F.lit("value").alias("kind")))
-        for i, c in enumerate(read)
-    ]
+        kept = d.join(located.withColumnRenamed("_bucket", "_b"), F.col("_bucket") == F.col("_b"), "left")
+        wanted = [F.when(F.array_contains("cells", i), F.col(c)).alias(f"{tag}{i}") for i, c in enumerate(columns)]
+        return kept.select(F.col(key).alias("row_key"), *wanted, "_hash").groupBy("row_key").agg(
+            *(F.first(f"{tag}{i}").alias(f"{tag}{i}") for i in range(len(columns))), (F.min("_hash") == F.max("_hash")).alias(tag)
+        )
+
+    joined = candidates(left, "x").join(candidates(right, "y"), "row_key", "full")
+    fields = [F.when(~F.col(f"x{i}").eqNullSafe(F.col(f"y{i}")), F.struct(F.lit(c).alias("field"), F.lit("value").alias("kind"))) for i, c in enumerate(columns)]
     found = (
         F.when(F.col("y").isNull(), F.array(F.struct(F.lit("").alias("field"), F.lit(f"missing_in_{right_name}").alias("kind"))))
         .when(F.col("x").isNull(), F.array(F.struct(F.lit("").alias("field"), F.lit(f"missing_in_{left_name}").alias("kind"))))
-        .otherwise(F.array_compact(F.array(*fields)) if fields else none)
+        .when(F.col("x") & F.col("y"), F.array_compact(F.array(*fields)))
     )
-    return both.select(F.col("row_key").cast("bigint").alias("row_key"), F.explode(found).alias("d")).select("row_key", "d.field", "d.kind")
+    out = joined.select(F.col("row_key").cast("bigint").alias("row_key"), F.explode(found).alias("d")).select("row_key", "d.field", "d.kind")
+
+    split = []
+    for d, name in ((left, left_name), (right, right_name)):
+        repeats = checkpointed(d.groupBy(F.col(key).alias("row_key")).agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b").select("row_key"))
+        split.append((repeats, d, name))
+    if all(repeats.isEmpty() for repeats, _, _ in split):
+        return out
+    return reduce(DataFrame.unionByName, (out, *_conflicts(split, key, columns)))
+
+
+def _conflicts(split: list[tuple[DataFrame, DataFrame, str]], key: str, columns: list[str]) -> list[DataFrame]:
+    """What keys with unlike rows within a side differ in: between those rows, and in the other fields between the sides."""
+    keys = reduce(DataFrame.unionByName, (repeats for repeats, _, _ in split)).distinct()
+    ends = []
+    for (_, d, _), tag in zip(split, "xy", strict=True):
+        aggs = [a for i, c in enumerate(columns) for a in (F.min(c).alias(f"{tag}lo{i}"), F.max(c).alias(f"{tag}hi{i}"), F.count(c).alias(f"{tag}n{i}"))]
+        ends.append(d.withColumnRenamed(key, "row_key").join(keys, "row_key", "left_semi").groupBy("row_key").agg(F.count("*").alias(f"{tag}n"), *aggs))
+    both = ends[0].join(ends[1], "row_key")  # a key that one side lacks is reported as missing there
+    mixed = lambda t, i: (F.col(f"{t}lo{i}") != F.col(f"{t}hi{i}")) | ((F.col(f"{t}n{i}") > 0) & (F.col(f"{t}n{i}") < F.col(f"{t}n")))
+    sure = lambda t, i: F.coalesce(mixed(t, i), F.lit(False))
+    out = []
+    for t, (_, _, name) in zip("xy", split, strict=True):
+        cells = [F.when(sure(t, i), F.struct(F.lit(c).alias("field"), F.lit(f"conflict_in_{name}").alias("kind"))) for i, c in enumerate(columns)]
+        out.append(both.select("row_key", F.explode(F.array_compact(F.array(*cells))).alias("d")))
+    cells = [F.when(~sure("x", i) & ~sure("y", i) & ~F.col(f"xlo{i}").eqNullSafe(F.col(f"ylo{i}")), F.struct(F.lit(c).alias("field"), F.lit("value").alias("kind"))) for i, c in enumerate(columns)]
+    out.append(both.select("row_key", F.explode(F.array_compact(F.array(*cells))).alias("d")))
+    return [o.select(F.col("row_key").cast("bigint").alias("row_key"), "d.field", "d.kind") for o in out]
