@@ -8,11 +8,13 @@ is linear: partial sketches add up, and adding with weight -1 deletes. To find t
 the levels are descended from the top, each time into the half that holds the rank.
 
 The rank error of an answer is the sum of the errors of the sketched levels met on the way down, each
-with standard deviation at most sqrt(F2 / WIDTH) of its level's second moment F2, and less by the
-median of DEPTH rows.
+with standard deviation at most sqrt(F2 / WIDTH) of its level's second moment F2. How far the rows of the
+sketch disagree shows how large it is in fact, so every answer comes with the standard error of its rank.
 
-Values are first collapsed to counts per group and code by a map-side aggregate (a group has at most
-2^BITS codes, however many rows), so a hot group costs no more than any other.
+A sketch is made where the rows are: each task collapses a run of rows to partial results, and only these are
+shuffled. A partial result of up to PLAIN codes is kept as these codes and their weights, which is the
+same sketch before it is spread over its counters: it turns into counters, without any loss or gain, once
+addition has made it larger. Groups of a third of all rows are added up in two steps.
 """
 
 from __future__ import annotations
@@ -25,50 +27,41 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 20
+FRACTION = 11
+BITS = 1 + 11 + FRACTION  # all signs and exponents of doubles
 WIDTH = 512
 DEPTH = 5
 EXACT = WIDTH.bit_length() - 1  # levels whose nodes fit the width are counted exactly
 SIZE = (2 << EXACT) - 2 + (BITS - EXACT) * DEPTH * WIDTH
+PLAIN = 2048  # codes that take less room than the counters
 MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-FRACTION = 11
-TOP = float(np.finfo(np.float32).max)
-LEAST = 2.0**-126
+LEAST = 2.0**-1022
+RUN = 1 << 18  # rows collapsed at once
+SALTS = 32
 
 
 def encode(values: np.ndarray) -> np.ndarray:
-    """Codes of doubles, in their order. Values beyond the float range fall on its ends, and those
-    nearer to zero than its least normal number on zero."""
-    size = np.minimum(np.abs(values), TOP)
-    mantissa, exponent = np.frexp(size)
-    magnitude = (exponent.astype(np.int64) + 126 << FRACTION) + np.floor((mantissa * 2 - 1) * (1 << FRACTION)).astype(np.int64)
-    magnitude = np.where(size < LEAST, 0, magnitude)
+    """Codes of doubles, in their order; infinities have their own. Values nearer to zero than the
+    least normal double fall on zero."""
+    size = np.abs(values)
+    finite = np.isfinite(size)
+    mantissa, exponent = np.frexp(np.where(finite, size, 1.0))
+    magnitude = (exponent.astype(np.int64) + 1022 << FRACTION) + np.floor((mantissa * 2 - 1) * (1 << FRACTION)).astype(np.int64)
+    magnitude = np.where(finite, np.where(size < LEAST, 0, magnitude), 2047 << FRACTION)
     half = 1 << (BITS - 1)
     return np.where((values < 0) & (magnitude > 0), half - 1 - magnitude, half + magnitude)
 
 
-def encoded(value: Column) -> Column:
-    """The same codes inside the JVM, so that values collapse before any shuffle."""
-    size = F.least(F.abs(value), F.lit(TOP))
-    guess = F.floor(F.log2(F.greatest(size, F.lit(LEAST)))).cast("int")
-    exponent = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
-    fraction = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * float(1 << FRACTION)).cast("int")
-    magnitude = F.when(size < LEAST, F.lit(0)).otherwise((exponent + 127) * (1 << FRACTION) + fraction)
-    half = 1 << (BITS - 1)
-    return F.when((value < 0) & (magnitude > 0), half - 1 - magnitude).otherwise(half + magnitude).cast("int")
-
-
 def decode(codes: np.ndarray) -> np.ndarray:
     """The middle of each code's interval; integers below 2^12 come back exactly."""
     half = 1 << (BITS - 1)
     negative = codes < half
     magnitude = np.where(negative, half - 1 - codes, codes - half)
-    exponent = (magnitude >> FRACTION) - 127
-    low = np.where(magnitude > 0, np.ldexp(1 + (magnitude & ((1 << FRACTION) - 1)) / (1 << FRACTION), exponent), 0.0)
-    width = np.ldexp(1.0, exponent - FRACTION)
-    value = np.where((low == np.round(low)) & (width <= 1), low, low + width / 2)
+    exponent = (magnitude >> FRACTION) - 1023
+    with np.errstate(over="ignore"):
+        low = np.where(magnitude > 0, np.ldexp(1 + (magnitude & ((1 << FRACTION) - 1)) / (1 << FRACTION), exponent), 0.0)
+        width = np.ldexp(1.0, exponent - FRACTION)
+    value = np.where((low == np.round(low)) & (width <= 1) | ~np.isfinite(low) | (magnitude == 0), low, low + np.where(np.isfinite(low), width, 0.0) / 2)
     return np.where(negative, -value, value)
 
 
@@ -86,162 +79,217 @@ def _offset(level: int, row: int = 0) -> int:
     return (1 << level) - 2 if level <= EXACT else (2 << EXACT) - 2 + ((level - EXACT - 1) * DEPTH + row) * WIDTH
 
 
-def sketch_many(groups: np.ndarray, codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """The sketches of ``size`` groups as one array (groups x SIZE); counts may be negative."""
-    out = np.zeros(size * SIZE, np.int64)
-    base = groups * SIZE
+def counters(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The counters of a sketch; weights may be negative."""
+    out = np.zeros(SIZE, np.int64)
     for level in range(1, BITS + 1):
         nodes = codes >> (BITS - level)
         if level <= EXACT:
-            np.add.at(out, base + _offset(level) + nodes, counts)
+            np.add.at(out, _offset(level) + nodes, weights)
             continue
         for row in range(DEPTH):
             bucket, sign = _cells(nodes, level, row)
-            np.add.at(out, base + _offset(level, row) + bucket, sign * counts)
-    return out.reshape(size, SIZE)
+            np.add.at(out, _offset(level, row) + bucket, sign * weights)
+    return out
 
 
-def pack(sketch: np.ndarray) -> bytes:
-    """A compressed sketch, in the narrowest integers that hold it."""
-    top = int(np.abs(sketch).max(initial=0))
+def _narrow(values: np.ndarray) -> tuple[bytes, bytes]:
+    top = int(np.abs(values).max(initial=0))
     kind = next(k for k in ("i1", "i2", "i4", "i8") if top < 1 << (8 * int(k[1]) - 1))
-    return kind.encode() + zlib.compress(sketch.astype("<" + kind).tobytes(), 1)
-
-
-def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data[2:]), "<" + data[:2].decode()).astype(np.int64)
-
-
-def node_counts(sketch: np.ndarray, nodes: np.ndarray, level: int) -> np.ndarray:
-    """The estimated numbers of values below nodes of one level."""
-    if level <= EXACT:
-        return sketch[_offset(level) + nodes]
-    rows = []
-    for row in range(DEPTH):
-        bucket, sign = _cells(nodes, level, row)
-        rows.append(sign * sketch[_offset(level, row) + bucket])
-    return np.median(np.array(rows), axis=0)
-
-
-def invert(sketch: np.ndarray, quantiles: Sequence[float]) -> tuple[int, np.ndarray]:
-    """The number of values and the values at the quantiles (nearest rank, from below)."""
-    n = int(sketch[0] + sketch[1])
-    if n <= 0:
-        return 0, np.full(len(quantiles), np.nan)
-    left = np.maximum(1.0, np.ceil(np.array(quantiles) * n))
-    nodes = np.zeros(len(quantiles), np.int64)
-    held = np.full(len(quantiles), float(n))
-    for level in range(1, BITS + 1):
-        low, high = node_counts(sketch, nodes * 2, level), node_counts(sketch, nodes * 2 + 1, level)
-        # the two halves are known to add up to their parent: share the difference between them
-        slack = 0.0 if level <= EXACT else (held - low - high) / 2
-        low = np.clip(low + slack, 0, held)
-        right = left > low
-        left = np.where(right, left - low, left)
-        nodes = nodes * 2 + right
-        held = np.where(right, held - low, low)
-    return n, decode(nodes)
+    return kind.encode(), values.astype("<" + kind).tobytes()
+
+
+class Sketch:
+    """Codes with weights while they are few, counters once they are not."""
+
+    def __init__(self, codes: np.ndarray | None = None, weights: np.ndarray | None = None) -> None:
+        """``codes`` ascending and without repeats."""
+        self.codes = np.empty(0, np.int64) if codes is None else codes
+        self.weights = np.empty(0, np.int64) if weights is None else weights
+        self.counters: np.ndarray | None = None
+        self._spread()
+
+    def _spread(self) -> None:
+        if len(self.codes) > PLAIN:
+            self.counters = counters(self.codes, self.weights)
+
+    def add(self, other: Sketch) -> None:
+        """Add another partial result up."""
+        if self.counters is None and other.counters is None:
+            codes = np.concatenate([self.codes, other.codes])
+            self.codes, at = np.unique(codes, return_inverse=True)
+            weights = np.zeros(len(self.codes), np.int64)
+            np.add.at(weights, at, np.concatenate([self.weights, other.weights]))
+            self.codes, self.weights = self.codes[weights != 0], weights[weights != 0]
+            self._spread()
+            return
+        mine = counters(self.codes, self.weights) if self.counters is None else self.counters
+        self.counters = mine + (counters(other.codes, other.weights) if other.counters is None else other.counters)
+
+    def pack(self) -> bytes:
+        """The sketch as bytes, in the narrowest integers that hold it."""
+        if self.counters is not None:
+            kind, data = _narrow(self.counters)
+            return b"c" + kind + zlib.compress(data, 1)
+        kind, data = _narrow(self.weights)
+        body = self.codes.astype("<u4").tobytes() + data
+        return b"p" + kind + body if len(body) < 512 else b"z" + kind + zlib.compress(body, 1)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Sketch:
+        form, kind, body = data[:1], "<" + data[1:3].decode(), data[3:] if data[:1] == b"p" else zlib.decompress(data[3:])
+        made = cls()
+        if form == b"c":
+            made.counters = np.frombuffer(body, kind).astype(np.int64)
+        else:
+            size = len(body) // (4 + int(kind[2]))
+            made.codes, made.weights = np.frombuffer(body, "<u4", size).astype(np.int64), np.frombuffer(body, kind, size, 4 * size).astype(np.int64)
+        return made
+
+    def node_counts(self, nodes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The estimated numbers of values below nodes of one level, and their standard errors."""
+        if level <= EXACT:
+            return self.counters[_offset(level) + nodes], np.zeros(len(nodes))
+        rows = []
+        for row in range(DEPTH):
+            bucket, sign = _cells(nodes, level, row)
+            rows.append(sign * self.counters[_offset(level, row) + bucket])
+        ordered = np.sort(np.array(rows), axis=0)
+        middle = DEPTH // 2
+        # of five normal deviates the median has standard deviation 0.54, and the fourth is 0.99 above the second
+        return ordered[middle], 0.54 * (ordered[middle + 1] - ordered[middle - 1])
+
+    def invert(self, quantiles: Sequence[float]) -> tuple[int, np.ndarray, float]:
+        """The number of values, the values at the quantiles (nearest rank, from below), and the largest standard error of their ranks, as a share."""
+        n = int(self.weights.sum() if self.counters is None else self.counters[0] + self.counters[1])
+        if n <= 0:
+            return 0, np.full(len(quantiles), np.nan), 0.0
+        left = np.maximum(1.0, np.ceil(np.array(quantiles) * n))
+        if self.counters is None:
+            return n, decode(self.codes[np.searchsorted(np.cumsum(self.weights), left)]), 0.0
+        nodes = np.zeros(len(quantiles), np.int64)
+        held = np.full(len(quantiles), float(n))
+        variance = np.zeros(len(quantiles))
+        for level in range(1, BITS + 1):
+            (low, low_error), (high, high_error) = self.node_counts(nodes * 2, level), self.node_counts(nodes * 2 + 1, level)
+            # the two halves are known to add up to their parent: share the difference between them
+            slack = 0.0 if level <= EXACT else (held - low - high) / 2
+            low = np.clip(low + slack, 0, held)
+            right = left > low
+            left = np.where(right, left - low, left)
+            nodes = nodes * 2 + right
+            held = np.where(right, held - low, low)
+            variance += (low_error**2 + high_error**2) / 4  # each bears half of either's error
+        return n, decode(nodes), float(variance.max(initial=0.0)) ** 0.5 / n
 
 
 PARTIAL = "grouping string, group_value bigint, part date, column_name string, sketch binary"
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
-    """Tables of whole groups from a partition sorted by its keys."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) < rows:
-            continue
-        whole = pa.Table.from_batches(held).combine_chunks()
-        marks = _starts(whole, keys)
-        if len(marks) > 1:
-            yield whole.slice(0, int(marks[-1]))
-            whole = whole.slice(int(marks[-1]))
-        held = whole.to_batches()
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
-def _starts(whole: pa.Table, keys: list[str]) -> np.ndarray:
-    change = np.zeros(len(whole), bool)
-    if len(whole):
-        change[0] = True
-    for k in keys:
-        codes = whole[k].combine_chunks().dictionary_encode()
-        codes = np.asarray(codes.indices.fill_null(-1))
-        change[1:] |= codes[1:] != codes[:-1]
-    return np.flatnonzero(change)
+def _collapsed(codes: np.ndarray, groups: np.ndarray, weights: np.ndarray) -> Iterator[tuple[int, Sketch]]:
+    """The sketch of each group, of rows in any order."""
+    both = (groups << BITS) | codes
+    order = np.argsort(both, kind="stable")
+    both, weights = both[order], weights[order]
+    starts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+    both, weights = both[starts], np.add.reduceat(weights, starts)
+    both, weights = both[weights != 0], weights[weights != 0]
+    if len(both):
+        owner = both >> BITS
+        cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for a, b in zip(cuts, np.r_[cuts[1:], len(both)], strict=True):
+            yield int(owner[a]), Sketch(both[a:b] & ((1 << BITS) - 1), weights[a:b])
 
 
 def partial_sketches(df: DataFrame, groupings: dict[str, Column], part: Column, columns: dict[str, Column], weight: Column | None = None) -> DataFrame:
-    """One packed sketch per grouping, group value, part (a date, such as the month) and column.
+    """Packed sketches per grouping, group value, part (a date, such as the month) and column: one for each run of rows.
 
     ``groupings`` and ``columns`` give expressions by name. Null and NaN values are left out; a null
     group value or part is a group of its own. ``weight`` (default 1) may be -1 to take rows back.
-    Sketches of separate parts are combined by merged_quantiles. An empty table gives no rows.
+    Sketches of any parts are combined by merged_quantiles. An empty table gives no rows.
     """
-    keys = ["grouping", "group_value", "part", "column_name"]
     wide = df.select(
         *(c.cast("bigint").alias(f"g{i}") for i, c in enumerate(groupings.values())),
         *(c.cast("double").alias(f"v{i}") for i, c in enumerate(columns.values())),
         part.alias("part"),
         (weight if weight is not None else F.lit(1)).cast("bigint").alias("w"),
     )
-    value = F.explode(F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(f"v{i}").alias("v")) for i, n in enumerate(columns))))
-    group = F.explode(F.array(*(F.struct(F.lit(n).alias("grouping"), F.col(f"g{i}").alias("group_value")) for i, n in enumerate(groupings))))
-    counted = (
-        wide.select("*", value.alias("x"))
-        .select("*", "x.column_name", "x.v")
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-        .withColumn("code", encoded(F.col("v")))
-        .select("column_name", "code", "part", "w", group.alias("g"))
-        .groupBy(F.col("g.grouping").alias("grouping"), F.col("g.group_value").alias("group_value"), "part", "column_name", "code")
-        .agg(F.sum("w").alias("w"))
-    )
+
+    groups, names = list(groupings), list(columns)
+
+    def numbered(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+        coded = column.combine_chunks().dictionary_encode(null_encoding="encode")
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held)
+        weights = whole["w"].to_numpy()
+        parts, part_values = numbered(whole["part"])
+        rows: list[tuple] = []
+        for j, column in enumerate(names):
+            values = whole[f"v{j}"].to_numpy()
+            here = ~np.isnan(values)
+            codes, w = encode(values[here]), weights[here]
+            for i, grouping in enumerate(groups):
+                numbers, group_values = numbered(whole[f"g{i}"])
+                for owner, sketch in _collapsed(codes, (numbers * len(part_values) + parts)[here], w):
+                    rows.append((grouping, group_values[owner // len(part_values)].as_py(), part_values[owner % len(part_values)].as_py(), column, sketch.pack()))
+        if rows:
+            kinds = (pa.string(), pa.int64(), pa.date32(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["grouping", "group_value", "part", "column_name", "sketch"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in _groups(batches, keys, 20_000):
-            marks = _starts(whole, keys)
-            ids = np.repeat(np.arange(len(marks)), np.diff(np.r_[marks, len(whole)]))
-            codes, weights = whole["code"].to_numpy().astype(np.int64), whole["w"].to_numpy()
-            for first in range(0, len(marks), 64):
-                some = slice(marks[first], marks[first + 64] if first + 64 < len(marks) else len(whole))
-                size = min(64, len(marks) - first)
-                made = sketch_many(ids[some] - first, codes[some], weights[some], size)
-                heads = whole.select(keys).take(marks[first : first + 64]).combine_chunks().to_batches()[0]
-                yield pa.RecordBatch.from_arrays([*heads.columns, pa.array([pack(s) for s in made], pa.binary())], [*keys, "sketch"])
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= RUN:
+                yield from flush(held)
+                held = []
+        if held:
+            yield from flush(held)
+
+    return wide.mapInArrow(build, PARTIAL)
 
-    return counted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(build, PARTIAL)
+
+def _sums(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, Sketch]]:
+    """The sum of the sketches of each key, of rows sorted by key."""
+    at: tuple | None = None
+    total = Sketch()
+    for batch in batches:
+        for *key, data in zip(*(batch[k].to_pylist() for k in (*keys, "sketch")), strict=True):
+            if tuple(key) != at:
+                if at is not None:
+                    yield at, total
+                at, total = tuple(key), Sketch()
+            total.add(Sketch.unpack(data))
+    if at is not None:
+        yield at, total
 
 
 def merged_quantiles(partials: DataFrame, quantiles: Sequence[float]) -> DataFrame:
-    """Quantiles of the union of the parts, per grouping, group value and column: n, q1, q2, ..."""
+    """Quantiles of the union of the parts per grouping, group value and column: n, rank_error, p05, p50, ...
+
+    ``rank_error`` is the largest standard error of the ranks of the answers, as a share of n: 0 where the codes are few
+    enough to be known exactly. Beside it, a value is within 2^-11 of the true one, relatively.
+    """
     keys = ["grouping", "group_value", "column_name"]
     names = [f"p{round(q * 100):02d}" for q in quantiles]
-    schema = "grouping string, group_value bigint, column_name string, n bigint, " + ", ".join(f"{n} double" for n in names)
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), *[pa.float64()] * (1 + len(names))]
+    schema = "grouping string, group_value bigint, column_name string, n bigint, rank_error double, " + ", ".join(f"{n} double" for n in names)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: tuple | None = None
-        total = np.zeros(SIZE, np.int64)
-        rows: list[tuple] = []
-
-        def close() -> None:
-            if at is not None:
-                n, values = invert(total, quantiles)
-                if n > 0:
-                    rows.append((*at, n, *values))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, total in _sums(batches, keys):
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((*key, total.pack()), (*kinds[:3], pa.binary()), strict=True)], [*keys, "sketch"])
 
-        for batch in batches:
-            for grouping, group_value, column, data in zip(*(batch[k].to_pylist() for k in (*keys, "sketch")), strict=True):
-                if (grouping, group_value, column) != at:
-                    close()
-                    at, total = (grouping, group_value, column), np.zeros(SIZE, np.int64)
-                total += unpack(data)
-        close()
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for key, total in _sums(batches, keys):
+            n, values, error = total.invert(quantiles)
+            if n > 0:
+                rows.append((*key, n, error, *values))
         if rows:
-            cols = list(zip(*rows, strict=True))
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), *[pa.float64()] * len(names)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [*keys, "n", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [*keys, "n", "rank_error", *names])
 
-    return partials.select(*keys, "sketch").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(answer, schema)
+    salted = partials.select(*keys, "sketch", F.pmod(F.xxhash64("part", "sketch"), F.lit(SALTS)).alias("salt"))
+    some = salted.repartition(*keys, "salt").select(*keys, "sketch").sortWithinPartitions(*keys).mapInArrow(add, "grouping string, group_value bigint, column_name string, sketch binary")
+    return some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(answer, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart.llm.distinct import distinct_counts
@@ -36,7 +36,7 @@ def p1_distinct_users_portable(spark: SparkSession, folder: str) -> DataFrame:
     return distinct_counts(table(spark, folder, "fct_hotel_interactions"), "user_id", USER_KEYS, USER_SETS, hash_kind="md5")
 
 
-def p3_monthly_sketches(spark: SparkSession, folder: str) -> DataFrame:
+def p3_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, Column, dict[str, Column], dict[str, Column]]:
     rows = table(spark, folder, "train")
     month = F.trunc(F.col("date_time").cast("date"), "MM")
     groupings = {"site_name": F.col("site_name"), "hotel_country": F.col("hotel_country"), "month": F.date_format(month, "yyyyMM").cast("int")}
@@ -45,11 +45,37 @@ def p3_monthly_sketches(spark: SparkSession, folder: str) -> DataFrame:
         "days_to_srch_ci": F.date_diff("srch_ci", F.col("date_time").cast("date")),
         "srch_adults_cnt": F.col("srch_adults_cnt"),
     }
-    return partial_sketches(rows, groupings, month, columns)
+    return rows, month, groupings, columns
 
 
 def p3_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    return merged_quantiles(p3_monthly_sketches(spark, folder), QUANTILES)
+    rows, month, groupings, columns = p3_inputs(spark, folder)
+    return merged_quantiles(partial_sketches(rows, groupings, month, columns), QUANTILES)
+
+
+def p3_rank_check(spark: SparkSession, folder: str) -> DataFrame:
+    """How many answers of p3_percentiles have their rank, counted exactly, within four standard errors and a thousandth (or one row)."""
+    rows, _, groupings, columns = p3_inputs(spark, folder)
+    keys = ["grouping", "g", "column_name"]
+    groups = F.explode(F.array(*(F.struct(F.lit(n).alias("grouping"), F.coalesce(c.cast("string"), F.lit("none")).alias("g")) for n, c in groupings.items())))
+    seen = rows.select(groups.alias("x"), F.struct(*(c.cast("double").alias(n) for n, c in columns.items())).alias("_"))
+    values = F.explode(F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(f"_.{n}").alias("v")) for n in columns)))
+    counts = seen.select("x.*", values.alias("y")).select("grouping", "g", "y.*").where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    names = [f"p{round(q * 100):02d}" for q in QUANTILES]
+    answers = p3_percentiles(spark, folder).withColumn("g", F.coalesce(F.col("group_value").cast("string"), F.lit("none")))
+    answers = answers.select(*keys, "n", "rank_error", F.explode(F.array(*(F.struct(F.lit(q).alias("q"), F.col(n).alias("value")) for q, n in zip(QUANTILES, names, strict=True)))).alias("a")).select(
+        *keys, "n", "rank_error", "a.*"
+    )
+    slack = F.abs("value") * 2.0**-11
+    ranked = (
+        answers.join(counts, keys)
+        .groupBy(*keys, "n", "rank_error", "q", "value")
+        .agg(F.sum(F.when(F.col("v") < F.col("value") - slack, F.col("c")).otherwise(0)).alias("below"), F.sum(F.when(F.col("v") <= F.col("value") + slack, F.col("c")).otherwise(0)).alias("upto"))
+    )
+    rank = F.ceil(F.col("q") * F.col("n"))
+    off = F.greatest(F.lit(0), F.col("below") - rank + 1, rank - F.col("upto"))
+    near = off <= F.greatest(F.lit(1.0), (0.001 + 4 * F.col("rank_error")) * F.col("n"))
+    return ranked.groupBy("grouping", "column_name").agg(F.count("*").alias("answers"), F.count_if(near).alias("near"))
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +95,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p8_ids, p9_containers, p10_found)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p3_rank_check, p8_ids, p9_containers, p10_found)}
 
 
 def _p1_sql(p: int = 12) -> str:
@@ -91,5 +117,13 @@ def _p1_sql(p: int = 12) -> str:
            floor(raw * {1 - 1.96 * 1.04 / m**0.5!r})::bigint as low, ceil(raw * {1 + 1.96 * 1.04 / m**0.5!r})::bigint as high from raw"""
 
 
+P3_RANKS = f"""
+with r as (select site_name, hotel_country, strftime(date_time, '%Y%m')::int as month, orig_destination_distance as d, datediff('day', date_time::date, srch_ci) as c, srch_adults_cnt as a from train),
+     g as ({' union all '.join(f"select '{g}' as grouping, {g} as v, d, c, a from r" for g in ("site_name", "hotel_country", "month"))}),
+     l as (select grouping, v, unnest([{{'n': 'orig_destination_distance', 'x': d}}, {{'n': 'days_to_srch_ci', 'x': c::double}}, {{'n': 'srch_adults_cnt', 'x': a::double}}]) as u from g),
+     k as (select grouping, u.n as column_name, v from l where u.x is not null and not isnan(u.x) group by all)
+select grouping, column_name, {len(QUANTILES)} * count(*) as answers, {len(QUANTILES)} * count(*) as near from k group by all"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_distinct_users_portable": _p1_sql()}
+    return {"p1_distinct_users_portable": _p1_sql(), "p3_rank_check": P3_RANKS}
