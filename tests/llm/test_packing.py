@@ -2,8 +2,10 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from trailmart.llm.packing import pack, sweep
+from trailmart.llm import packing
+from trailmart.llm.packing import STEPS, pack, sweep
 
 
 def check(rows, items, capacity):
@@ -43,18 +45,57 @@ def best_fit(sizes, capacity):
     return len(gaps)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_sweep_is_best_fit_decreasing(seed):
+def steps(sizes, capacity):
+    """Containers and the most ranges of one superstep, with gaps updated from the ranges alone."""
+    gaps, containers, most = [], 0, 0
+    ends = [capacity, *(capacity // k for k in STEPS), 0]
+    for high, low in zip(ends, ends[1:], strict=False):
+        own = {s: n for s, n in sizes.items() if low < s <= high}
+        if not own:
+            continue
+        gaps.sort()
+        by_width = {w: [g for g in gaps if g[0] == w] for w in {g[0] for g in gaps}}
+        plan = sweep(own, {w: len(g) for w, g in by_width.items()}, capacity)
+        fresh = [[capacity] for _ in range(plan.opened)]
+        for s, first, ranks, source, target, each in plan.ranges:
+            assert first >= 0 and ranks <= own[s]
+            for r in range(ranks):
+                gap = (by_width[source] if source else fresh)[target + r // each]
+                gap[0] -= s
+                assert gap[0] >= 0
+        assert sum(r[2] for r in plan.ranges) == sum(own.values())
+        gaps += fresh
+        containers, most = containers + plan.opened, max(most, len(plan.ranges))
+    return containers, most
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_supersteps_are_best_fit_decreasing(seed):
     rng = random.Random(seed)
     sizes = [min(100, int(rng.lognormvariate(3, 1)) + 1) for _ in range(rng.randrange(1, 900))]
-    assert sweep(collections.Counter(sizes), 100).containers == best_fit(sizes, 100)
+    assert steps(collections.Counter(sizes), 100)[0] == best_fit(sizes, 100)
 
 
 def test_plan_does_not_grow_with_the_items():
     rng = random.Random(9)
     shape = collections.Counter(min(2048, int(rng.lognormvariate(6, 1)) + 1) for _ in range(20_000))
-    small, large = sweep(shape, 2048), sweep({s: n * 100_000 for s, n in shape.items()}, 2048)
-    assert len(large.ranges) <= 8 * 2048 and len(small.ranges) <= 8 * 2048
+    for factor in (1, 100_000):
+        assert len(sweep({s: n * factor for s, n in shape.items()}, {}, 2048).ranges) <= 8 * 2048
+
+
+def test_hot_sizes_are_salted(spark, monkeypatch):
+    """Ranks are dense within each size, whatever the salts."""
+    monkeypatch.setattr(packing, "SHARE", 10)
+    df = spark.range(700).selectExpr("id as k", "case when id % 3 = 0 then 5L else id % 40 end as size")
+    rows, counts = packing.ranked(df, "size", ["k"], F.xxhash64("k"))
+    seen = collections.defaultdict(list)
+    for r in rows.collect():
+        seen[r["size"]].append(r["rank"])
+    assert {s: sorted(r) for s, r in seen.items()} == {s: list(range(n)) for s, n in counts.items()}
+    assert rows.select("size", "_salt").distinct().groupBy("size").count().where("size = 5").first()["count"] > 10
+    items = [(i, 7 if i % 3 else 20) for i in range(300)]
+    packed = pack(spark.createDataFrame(items, "k long, tokens long"), "k", "tokens", 64).collect()
+    assert check(packed, items, 64) == best_fit([s for _, s in items], 64)
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -69,6 +110,13 @@ def test_pack(spark, seed):
     assert count == best_fit(cut, 64)
 
 
+def test_a_large_capacity(spark):
+    rng = random.Random(4)
+    items = [(i, min(131_072, int(rng.lognormvariate(9, 1.5)) + 1)) for i in range(600)]
+    rows = pack(spark.createDataFrame(items, "k long, tokens long"), "k", "tokens", 131_072).collect()
+    assert check(rows, items, 131_072) == best_fit([s for _, s in items], 131_072)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "k long, tokens long")
     assert pack(df, "k", "tokens", 64).count() == 0

@@ -1,15 +1,16 @@
 """Packing items into containers of fixed capacity by bulk-synchronous best fit.
 
-Items are ranged by size and gaps (what is left in open containers) by width. In each superstep the
-largest size class not yet placed meets the gaps: its items find their successor, the least gap that
-holds them; where several want the same containers the lower rank wins, as many per container as fit;
-the gaps shrink by what they took and keep their order; items that found no gap open new containers.
-
-Sizes are integers up to the capacity, and containers that took the same items stay alike, so both
-sides are kept as classes: ranges of ranks. A class table never has more rows than a small multiple of
-the capacity, whatever the number of items, and the sweep over it is done where it is. Spark does what
-grows with the data: counting the sizes, ranking each item within its class (salted, so a class with a
-third of all items is spread), and matching ranks to the ranges of containers.
+Items are kept in order of size and gaps (what is left in open containers) in order of width, each with
+its rank among its equals. A superstep takes the next range of sizes, from the largest down. Its sweep
+goes over sizes and widths, which are whole numbers up to the capacity, and finds for each item its
+successor, the least gap that holds it: because equals are told apart by rank alone, it decides whole
+runs of ranks at once, and where items compete for a gap the lower rank wins. Items and gaps then find
+each other by rank in a distributed join, the gaps shrink by what they took, items without a successor
+open containers, and the next superstep begins with the gaps as they are now.
+
+The sweep carries the runs from one width to the next; it sees counts only, at most one for each whole
+number up to the capacity, however many items there are. Ranks, joins and updates are spread over the
+cluster; an item size or a gap width that a large share of all rows has is salted.
 """
 
 from __future__ import annotations
@@ -17,66 +18,67 @@ from __future__ import annotations
 import bisect
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 64
+from trailmart.session import checkpointed
+
+#: Ends of the ranges of sizes: capacity / 2, capacity / 3, ...; the last range goes down to 1.
+STEPS = (2, 3, 4, 8, 32)
+SHARE = 1 << 18  # rows of one value ranked in one task, or a thousandth of all rows if that is more
 
 
 @dataclass
-class Gaps:
-    """Containers first..first+count-1, which hold ``slots`` items and have ``gap`` left."""
+class Run:
+    """Gaps that had width ``source`` when the superstep began (0: opened in it), of ranks first..first+count-1, now ``gap`` wide."""
 
+    source: int
     first: int
     count: int
     gap: int
-    slots: int
 
 
 @dataclass
 class Plan:
-    """Ranges of ranks of each size and the containers that take them."""
+    """Which ranks of each size go to which ranks of gaps."""
 
-    containers: int = 0
-    #: size, first rank, ranks, first container, items per container, first place, first offset
-    ranges: list[tuple[int, int, int, int, int, int, int]] = field(default_factory=list)
+    opened: int = 0
+    #: size, first rank, ranks, source width (0: new), first rank of the gaps, items per gap
+    ranges: list[tuple[int, int, int, int, int, int]] = field(default_factory=list)
 
 
-def sweep(sizes: dict[int, int], capacity: int) -> Plan:
-    """The supersteps over the classes: ``sizes`` counts the items of each size from 1 to capacity."""
+def sweep(sizes: dict[int, int], gaps: dict[int, int], capacity: int) -> Plan:
+    """Best fit of a range of sizes into gaps: ``sizes`` and ``gaps`` count the items and gaps of each size and width."""
     plan = Plan()
-    opened: list[tuple[int, int, Gaps]] = []  # by gap, then first container
-
-    def put(g: Gaps) -> None:
-        if g.gap > 0 and g.count > 0:
-            bisect.insort(opened, (g.gap, g.first, g))
-
-    def take(g: Gaps, size: int, rank: int, left: int) -> int:
-        """Fill the containers of ``g``, a successor class, with up to ``left`` items."""
-        each = g.gap // size
-        full = min(g.count, left // each)
-        for count, items in ((full, each), (1 if full < g.count else 0, left - full * each if full < g.count else 0)):
+    least = min(sizes, default=0)
+    order = sorted((width, width, 0, Run(width, 0, count, width)) for width, count in gaps.items() if width >= least)  # by gap, then source and rank
+
+    def put(run: Run) -> None:
+        if run.gap >= least and run.count > 0:
+            bisect.insort(order, (run.gap, run.source, run.first, run))
+
+    def take(run: Run, size: int, rank: int, left: int) -> int:
+        """Fill the gaps of ``run`` one after the other with up to ``left`` items."""
+        each = run.gap // size
+        full = min(run.count, left // each)
+        rest = left - full * each if full < run.count else 0
+        for count, items in ((full, each), (1, rest)):
             if count and items:
-                plan.ranges.append((size, rank, count * items, g.first, items, g.slots, capacity - g.gap))
-                put(Gaps(g.first, count, g.gap - items * size, g.slots + items))
-                g.first, g.count = g.first + count, g.count - count
+                plan.ranges.append((size, rank, count * items, run.source, run.first, items))
+                put(Run(run.source, run.first, count, run.gap - items * size))
+                run.first, run.count = run.first + count, run.count - count
                 rank, left = rank + count * items, left - count * items
-        put(g)
+        put(run)
         return left
 
     for size in sorted(sizes, reverse=True):
         left = sizes[size]
-        while left:
-            at = bisect.bisect_left(opened, (size, -1))
-            if at == len(opened):
-                break
-            _, _, gaps = opened.pop(at)
-            left = take(gaps, size, sizes[size] - left, left)
+        while left and (at := bisect.bisect_left(order, (size,))) < len(order):
+            left = take(order.pop(at)[3], size, sizes[size] - left, left)
         if left:
             count = -(-left // (capacity // size))
-            fresh = Gaps(plan.containers, count, capacity, 0)
-            plan.containers += count
-            take(fresh, size, sizes[size] - left, left)
+            plan.opened += count
+            take(Run(0, plan.opened - count, count, capacity), size, sizes[size] - left, left)
     return plan
 
 
@@ -87,47 +89,86 @@ def pieces(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     return cut.select("_key", "piece", F.least(F.col("whole") - F.col("piece") * capacity, F.lit(capacity)).alias("size"))
 
 
-def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
-    """One row per piece: key, piece, container_id, place, start, size.
+def ranked(df: DataFrame, value: str, order: list[str], salt: Column) -> tuple[DataFrame, dict[int, int]]:
+    """``df`` with ``rank``, from 0 among the rows of equal ``value``, and the number of rows of each value.
 
-    ``place`` numbers the pieces of a container from 0, ``start`` is where in the container a piece
-    begins. Items of size 0 (or null) take no room: they lie in container 0 at place -1. An empty
-    table gives no rows. Which of several items of one size goes where follows from their keys;
-    repeated rows are items of their own. The items are read three times, so they should be cheap to
-    read again; other columns are ignored.
+    There are at most capacity values, and at most 1,000 of them hold more than a thousandth of all rows: those are salted.
     """
-    cut = pieces(items, key, size, capacity)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("_key", "piece"), F.lit(SALTS)).cast("int"))
-    counts = salted.where("size > 0").groupBy("size", "salt").agg(F.count("*").alias("n"))
-    # bounded: at most capacity x SALTS rows, and capacity rows at the driver
-    sizes = {r[0]: r[1] for r in counts.groupBy("size").agg(F.sum("n")).collect()}
-    plan = sweep(sizes, capacity)
-    schema = "size bigint, first bigint, ranks bigint, container bigint, each bigint, place bigint, start bigint"
+    spark = df.sparkSession
+    counts = {r[0]: r[1] for r in df.groupBy(value).agg(F.count("*")).collect()}
+    limit = max(SHARE, sum(counts.values()) // 1000)
+    hot = [(v, -(-n // limit)) for v, n in counts.items() if n > limit]
+    salted = df.withColumn("_salt", F.lit(0))
+    if hot:
+        table = spark.createDataFrame(hot, "_value bigint, _salts int")
+        salted = df.join(F.broadcast(table), F.col(value) == F.col("_value"), "left").withColumn("_salt", F.pmod(salt, F.coalesce("_salts", F.lit(1))).cast("int")).drop("_value", "_salts")
+    out = salted.withColumn("rank", F.row_number().over(Window.partitionBy(value, "_salt").orderBy(*order)) - F.lit(1).cast("bigint"))
+    if hot:
+        sizes = salted.where(F.col("_salt") > -1).join(F.broadcast(table), F.col(value) == F.col("_value")).groupBy("_value", "_salt").agg(F.count("*").alias("n"))
+        before = Window.partitionBy("_value").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.select("_value", F.col("_salt").alias("_s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))  # at most 2,000 rows
+        out = out.join(F.broadcast(sizes), (F.col(value) == F.col("_value")) & (F.col("_salt") == F.col("_s")), "left")
+        out = out.withColumn("rank", F.col("rank") + F.coalesce("_before", F.lit(0))).drop("_value", "_s", "_before")
+    return out, counts
+
+
+def _targets(items: DataFrame, plan: Plan) -> DataFrame:
+    """Items with the gap the plan gives them: its width when the superstep began, and its rank."""
+    schema = "_size bigint, first bigint, ranks bigint, source bigint, target bigint, each bigint"
     ranges = items.sparkSession.createDataFrame(plan.ranges, schema)
-    before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("size", "salt").orderBy("_key", "piece")
-    ranked = (
-        salted.where("size > 0")
-        .withColumn("nth", F.row_number().over(within) - 1)
-        .join(F.broadcast(offsets), ["size", "salt"])
-        .withColumn("rank", F.col("nth") + F.col("before"))
-    )
-    # the ranges of a size as one sorted array each, so that an item finds its own by a search in its row
-    lists = ranges.groupBy("size").agg(F.sort_array(F.collect_list(F.struct("first", "ranks", "container", "each", "place", "start"))).alias("ranges"))
-    matched = ranked.join(F.broadcast(lists), "size").withColumn(
+    # the ranges of a size and salt as one array, so that an item finds its own by a search in its row
+    lists = ranges.groupBy("_size").agg(F.collect_list(F.struct("first", "ranks", "source", "target", "each")).alias("ranges"))
+    salts = items.select(F.col("size").alias("_size"), F.col("_salt").alias("_s")).distinct()
+    lists = lists.join(salts, "_size")
+    found = items.join(lists, (F.col("size") == F.col("_size")) & (F.col("_salt") == F.col("_s"))).withColumn(
         "r", F.expr("element_at(filter(ranges, x -> x.first <= rank and rank < x.first + x.ranks), 1)")
     )
-    inside = (F.col("rank") - F.col("r.first")) % F.col("r.each")
-    placed = matched.select(
-        "_key",
-        "piece",
-        (F.col("r.container") + F.expr("(rank - r.first) div r.each")).alias("container_id"),
-        (F.col("r.place") + inside).alias("place"),
-        (F.col("r.start") + inside * F.col("size")).alias("start"),
-        "size",
-    )
+    return found.select("_key", "piece", "size", F.col("r.source").alias("source"), (F.col("r.target") + F.expr("(rank - r.first) div r.each")).alias("target"))
+
+
+def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
+    """One row per piece: key, piece, container_id, place, start, size.
+
+    ``place`` numbers the pieces of a container from 0, the largest first, ``start`` is where in the
+    container a piece begins. Items of size 0 (or null) take no room: they lie in container 0 at place -1.
+    An empty table gives no rows. Which of several items of one size goes where follows from their keys;
+    repeated rows are items of their own. The items are read several times, so they should be cheap to
+    read again; other columns are ignored. The result is that of best fit by decreasing size.
+    """
+    cut = pieces(items, key, size, capacity)
+    rows, sizes = ranked(cut.where("size > 0"), "size", ["_key", "piece"], F.xxhash64("_key", "piece"))
+    rows = checkpointed(rows)
+    gaps: DataFrame | None = None  # container_id, gap
+    containers, placed = 0, []
+    ends = [capacity, *(capacity // k for k in STEPS), 0]
+    for high, low in zip(ends, ends[1:], strict=False):
+        own = {s: n for s, n in sizes.items() if low < s <= high}
+        if not own:
+            continue
+        widths: dict[int, int] = {}
+        if gaps is not None:
+            numbered, widths = ranked(gaps.where(F.col("gap") >= min(own)), "gap", ["container_id"], F.xxhash64("container_id"))
+        plan = sweep(own, widths, capacity)
+        found = _targets(rows.where(F.col("size").between(min(own), max(own))), plan)
+        step = found.where("source = 0").select("_key", "piece", "size", (F.col("target") + containers).alias("container_id"))
+        if any(r[3] for r in plan.ranges):
+            at = numbered.select("container_id", F.col("gap").alias("source"), F.col("rank").alias("target"))
+            step = step.unionByName(found.where("source > 0").join(at, ["source", "target"]).select("_key", "piece", "size", "container_id"))
+        step = checkpointed(step)
+        placed.append(step)
+        containers += plan.opened
+        if low:
+            used = step.groupBy("container_id").agg(F.sum("size").alias("used"))
+            both = used if gaps is None else gaps.join(used, "container_id", "full")
+            left = F.lit(capacity) if gaps is None else F.coalesce("gap", F.lit(capacity))
+            gaps = checkpointed(both.select("container_id", (left - F.coalesce("used", F.lit(0))).cast("bigint").alias("gap")).where("gap > 0"))
+    within = Window.partitionBy("container_id").orderBy(F.desc("size"), "_key", "piece")
     nothing = cut.where("size = 0").select(
         "_key", "piece", F.lit(0).cast("bigint").alias("container_id"), F.lit(-1).cast("bigint").alias("place"), F.lit(0).cast("bigint").alias("start"), "size"
     )
-    return placed.unionByName(nothing).withColumnRenamed("_key", key)
+    for step in placed[1:]:
+        placed[0] = placed[0].unionByName(step)
+    for whole in placed[:1]:
+        whole = whole.withColumn("place", F.row_number().over(within).cast("bigint") - 1).withColumn("start", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+        nothing = whole.select("_key", "piece", "container_id", "place", "start", "size").unionByName(nothing)
+    return nothing.withColumnRenamed("_key", key)
