@@ -23,7 +23,7 @@ def parts(spark, data):
 
 def test_contract_limits_are_enforced(spark, data, parts):
     catalog, staged = parts
-    found = {r["gate"]: r for r in build.checks(spark, data, catalog, staged).collect()}
+    found = {r["gate"]: r for r in build.checks(build.raw_of(spark, data), catalog, staged).collect()}
     assert {n for n in found if n.startswith(("staging:", "quarantine_rate:", "multimarket_rate", "names:"))} == {
         "staging:train_rows", "staging:train_multiset", "staging:destinations_rows", "staging:destinations_multiset",
         "quarantine_rate:train", "quarantine_rate:destinations", "multimarket_rate", "names:forbidden",
@@ -50,7 +50,8 @@ def test_build_refuses_what_the_contract_forbids(spark, data, tmp_path):
     with pytest.raises(gates.GateError, match="quarantine_rate:train"):
         build.build(spark, data, tmp_path, "strict")
     assert not (tmp_path / "strict").exists()
-    assert build.build(spark, data, tmp_path, "relaxed", Contract(maximum_quarantine_rate=0.1)).is_dir()
+    assert build.build(spark, data, tmp_path, "relaxed", Contract(maximum_quarantine_rate=0.1)) == str(tmp_path / "relaxed")
+    assert (tmp_path / "relaxed").is_dir()
 
 
 def test_declared_objects_exist(parts):

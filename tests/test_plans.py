@@ -75,9 +75,9 @@ def test_publish_and_compare(spark, tmp_path):
 
 def test_landing(spark, tmp_path):
     (tmp_path / "train.csv").write_text('a,b\n1,"x, ""y"""\n,""\n3,z\n', encoding="utf-8")
-    assert landing.find_raw(tmp_path, "train").name == "train.csv"
+    assert landing.find_raw(spark, tmp_path, "train").endswith("/train.csv")
     with pytest.raises(FileNotFoundError):
-        landing.find_raw(tmp_path, "test")
+        landing.find_raw(spark, tmp_path, "test")
     rows = landing.with_scan_ordinal(landing.read_text_csv(spark, tmp_path / "train.csv", ["a", "b"])).orderBy("source_scan_ordinal").collect()
     assert [(r["a"], r["b"], r["source_scan_ordinal"]) for r in rows] == [("1", 'x, "y"', 1), (None, None, 2), ("3", "z", 3)]
     (tmp_path / "bad.csv").write_text("a,b\n1,2,3\n")
@@ -87,6 +87,13 @@ def test_landing(spark, tmp_path):
     assert sorted(r["source_scan_ordinal"] for r in many) == list(range(1, 1001))
     publish.write_csv(spark.range(3), tmp_path / "out")
     assert landing.read_inferred_csv(spark, tmp_path / "out").count() == 3
+    (tmp_path / "many").mkdir()
+    for i in range(5):
+        (tmp_path / "many" / f"{i}.csv").write_text("a\n" + "".join(f"{i * 1000 + j}\n" for j in range(100 * (5 - i))))
+    whole = landing.with_scan_ordinal(landing.read_text_csv(spark, tmp_path / "many", ["a"])).orderBy("source_scan_ordinal").collect()
+    assert [r["source_scan_ordinal"] for r in whole] == list(range(1, 1501)) and [int(r["a"]) for r in whole] == sorted(int(r["a"]) for r in whole)
+    loose = landing.read_text_csv(spark, tmp_path / "bad.csv", ["a", "b"], strict=False).collect()
+    assert len(loose) == 1
     (tmp_path / "d.json").write_bytes(b"\xef\xbb\xbf" + json.dumps({"k": 1}).encode())
     assert landing.read_document(tmp_path / "d.json") == {"k": 1}
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmart.contract import DEFAULT, Contract
-from trailmart.schema import OBJECTS
+from trailmart.schema import OBJECTS, ObjectSpec
 
-FORBIDDEN = ("conversion", "retention", "churn", "revenue", "gmv", "uplift", "ctr")
+# Terms a published name must not contain, as they claim what these data cannot show.
+FORBIDDEN = ("conversion", "ctr", "retention", "churn", "revenue", "gmv", "uplift")
 
 
 class GateError(RuntimeError):
@@ -104,7 +105,13 @@ def date_gates(catalog: dict[str, DataFrame]) -> list[DataFrame]:
     classes = ("missing_checkin", "checkin_before_event", "lead_time_out_of_scope", "missing_checkout", "checkout_not_after_checkin", "stay_out_of_scope", "plausible")
     flagged = spine.where("is_checkin_date").join(fact.where("has_valid_lead_time").select(F.col("checkin_date").alias("date_day")), "date_day", "left_anti")
     flagged_out = spine.where("is_checkout_date").join(fact.where("is_plausible_trip_dates").select(F.col("checkout_date").alias("date_day")), "date_day", "left_anti")
+    seasons = catalog["dm_checkin_seasonality"].agg(F.coalesce(F.sum("interaction_rows"), F.lit(0)).alias("s")).crossJoin(fact.agg(F.count_if("has_valid_lead_time").alias("n")))
+    windows = catalog["dm_booking_window"].agg(F.coalesce(F.sum("interaction_rows"), F.lit(0)).alias("s")).crossJoin(fact.agg(F.count_if(F.col("has_valid_lead_time") & F.col("has_valid_stay_dates")).alias("n")))
+    bounds = spine.agg(F.min("date_day").alias("first"), F.max("date_day").alias("last")).crossJoin(fact.agg(F.min("event_date").alias("from"), F.max("event_date").alias("to")))
     return [
+        check(seasons, "dates:seasonality_population", F.max("s"), F.max("n")),
+        check(windows, "dates:window_population", F.max("s"), F.max("n")),
+        none_of(bounds, "dates:spine_covers_events", (F.col("first") > F.col("from")) | (F.col("last") < F.col("to"))),
         none_of(fact, "dates:known_classes", ~F.col("trip_date_quality").isin(*classes)),
         none_of(fact, "dates:class_agrees_with_flag", (F.col("trip_date_quality") == "plausible") != F.col("is_plausible_trip_dates")),
         check(flagged, "dates:checkin_role_justified", F.count("*"), 0),
@@ -112,11 +119,11 @@ def date_gates(catalog: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
-def catalog_gates(catalog: dict[str, DataFrame]) -> list[DataFrame]:
+def catalog_gates(catalog: dict[str, DataFrame], objects: tuple[ObjectSpec, ...] = OBJECTS) -> list[DataFrame]:
     """Declared objects exist, their grain is unique, they are not empty unless quarantine, names are plain."""
-    there = [F.struct(F.lit(f"exists:{s.name}").alias("gate"), F.lit(float(s.name in catalog)).alias("actual"), F.lit(1.0).alias("expected"), F.lit(s.name in catalog).alias("passed")) for s in OBJECTS]
+    there = [F.struct(F.lit(f"exists:{s.name}").alias("gate"), F.lit(float(s.name in catalog)).alias("actual"), F.lit(1.0).alias("expected"), F.lit(s.name in catalog).alias("passed")) for s in objects]
     found = [next(iter(catalog.values())).sparkSession.range(1).select(F.inline(F.array(*there)))]
-    for spec in OBJECTS:
+    for spec in objects:
         if spec.name not in catalog:
             continue
         df = catalog[spec.name]
@@ -150,14 +157,14 @@ def staging_gates(reconciled: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def threshold_gates(counts: DataFrame, ambiguity: DataFrame, contract: Contract = DEFAULT) -> list[DataFrame]:
-    rates = [at_most(counts, f"quarantine_rate:{n}", F.max(F.col(f"quarantined_{n}") / F.greatest(F.col(f"raw_{n}"), F.lit(1))), contract.maximum_quarantine_rate) for n in ("train", "destinations")]
+    rates = [at_most(counts, f"quarantine_rate:{n}", F.max(F.col(f"quarantined_{n}") / F.greatest(F.col(f"raw_{n}"), F.lit(1))), contract.maximum_quarantine_rate) for n in ("train", "test", "destinations") if f"raw_{n}" in counts.columns]
     multi = ambiguity.where("ambiguity_type = 'multimarket_context'")
     return [*rates, at_most(multi, "multimarket_rate", F.max("affected_share"), contract.maximum_multimarket_rate)]
 
 
-def all_gates(catalog: dict[str, DataFrame], reconciled: dict[str, DataFrame] | None = None, counts: DataFrame | None = None, contract: Contract = DEFAULT) -> DataFrame:
+def all_gates(catalog: dict[str, DataFrame], reconciled: dict[str, DataFrame] | None = None, counts: DataFrame | None = None, contract: Contract = DEFAULT, objects: tuple[ObjectSpec, ...] = OBJECTS) -> DataFrame:
     """Every gate of a catalog; with the reconciliations and counts of its staging also those of the sources and the contract's limits."""
-    parts = [*population_gates(catalog), *range_gates(catalog), *calendar_gates(catalog), *date_gates(catalog), *catalog_gates(catalog), *name_gates(catalog)]
+    parts = [*population_gates(catalog), *range_gates(catalog), *calendar_gates(catalog), *date_gates(catalog), *catalog_gates(catalog, objects), *name_gates(catalog)]
     if reconciled is not None:
         parts += staging_gates(reconciled)
     if counts is not None:

@@ -85,11 +85,12 @@ def multiset_reconciliation(raw: DataFrame, *outputs: DataFrame, key: str = "raw
     )
 
 
-def population_counts(train: Staged, destinations: Staged) -> DataFrame:
+def population_counts(train: Staged, destinations: Staged, test: Staged | None = None) -> DataFrame:
     """One row of raw, accepted and quarantined counts per data set."""
 
     def counts(staged: Staged, name: str) -> DataFrame:
         bad = F.col("reject_reasons") != ""
         return staged.classified.agg(F.count("*").alias(f"raw_{name}"), F.count_if(~bad).alias(f"accepted_{name}"), F.count_if(bad).alias(f"quarantined_{name}"))
 
-    return counts(train, "train").crossJoin(counts(destinations, "destinations"))  # one row each
+    both = counts(train, "train").crossJoin(counts(destinations, "destinations"))  # one row each
+    return both if test is None else both.crossJoin(counts(test, "test"))

@@ -77,3 +77,28 @@ OBJECTS = (
         )
     ),
 )
+#: Objects of a build whose sources have a test set.
+TEST_OBJECTS = (
+    ObjectSpec("staging", "stg_test_accepted", ("id",), MONTHS),
+    ObjectSpec("staging", "quarantine_test", ("raw_row_fingerprint", "duplicate_occurrence")),
+)
+#: Dashboard objects, made of a published build.
+BI_OBJECTS = tuple(
+    ObjectSpec("bi", name, grain)
+    for name, grain in (
+        ("bi_overview_monthly", ("event_month",)),
+        ("bi_segments_monthly", ("event_month", "segment_type", "segment_value")),
+        ("bi_booking_window", ("lead_time_segment", "stay_segment")),
+        ("bi_traveller_planning_monthly", ("event_month", "traveller_segment")),
+        ("bi_checkin_seasonality", ("checkin_month", "traveller_segment")),
+        ("bi_destination_performance", ("destination_id",)),
+        ("bi_hotel_market_performance", ("hotel_market",)),
+        ("bi_destination_monthly", ("event_month", "destination_id")),
+        ("bi_routes", ("origin_id", "destination_id")),
+        ("bi_observed_recurrence", ("cohort_month", "activity_month")),
+        ("bi_acceptance_status", ("build_id",)),
+        ("bi_missingness_daily", ("event_date", "field_name")),
+        ("bi_proxy_ambiguity", ("ambiguity_type",)),
+        ("bi_booking_population_drift_summary", ("dimension_name",)),
+    )
+)
