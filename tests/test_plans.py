@@ -114,7 +114,9 @@ def test_ranks_and_deciles(spark):
     assert sorted((r["o"], r["r"], r["n"]) for r in found if r["k"] is None) == [(3, 1, 2), (5, 2, 2)]
     for size in (0, 1, 9, 10, 23, 57):
         df = spark.createDataFrame([(i, float(i % 4)) for i in range(size)], "srch_destination_id int, v double")
-        ours = legacy.deciles(df, "v", "t").select("srch_destination_id", "t").collect()
+        deciled, median = legacy.deciles(df, "v", "t")
+        ours = deciled.select("srch_destination_id", "t").collect()
+        assert median.first()["median"] == df.selectExpr("percentile(v, 0.5) as m").first()["m"]
         theirs = df.selectExpr("srch_destination_id", "ntile(10) over (order by v nulls last, srch_destination_id) as t").collect()
         assert sorted(map(tuple, ours)) == sorted(map(tuple, theirs))
 

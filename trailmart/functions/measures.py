@@ -29,6 +29,14 @@ def wilson(part: Column, whole: Column, z: float = Z) -> tuple[Column, Column]:
     return F.when(whole > 0, low), F.when(whole > 0, high)
 
 
+def wilson_unbounded(part: Column, whole: Column, z: float = Z) -> tuple[Column, Column]:
+    """The bare Wilson formula, which rounding may carry beyond [0, 1] or the share itself."""
+    n, z2 = whole.cast("double"), z * z
+    p = part.cast("double") / n
+    spread = F.sqrt((p * (1 - p) + z2 / 4 / n) / n) * z
+    return F.when(whole > 0, (p + z2 / 2 / n - spread) / (1 + z2 / n)), F.when(whole > 0, (p + z2 / 2 / n + spread) / (1 + z2 / n))
+
+
 def bookings(flag: Column | None = None) -> Column:
     return F.count_if((F.col("is_booking") if flag is None else flag) == 1)
 

@@ -32,7 +32,7 @@ def trip_numbers() -> dict[str, Column]:
     return plain | {"lead_time_days": lead, "stay_nights": F.date_diff("srch_co", "srch_ci"), "party_size": F.coalesce("srch_adults_cnt", F.lit(0)) + F.coalesce("srch_children_cnt", F.lit(0))}
 
 
-def numeric_profile(df: DataFrame, numbers: dict[str, Column], accuracy: int = 10_000) -> DataFrame:
+def numeric_profile(df: DataFrame, numbers: dict[str, Column], accuracy: int = 1_000_000) -> DataFrame:
     """Counts, range, mean, deviation and approximate quantiles (rank error 1/accuracy) per number; NaN is left out."""
     long = unpivot(df, (), {n: c.cast("double") for n, c in numbers.items()}, "metric", "v")
     value = F.when(~F.isnan("v"), F.col("v"))
@@ -107,8 +107,8 @@ CONTEXT = (
 )
 
 
-def context_profile(df: DataFrame) -> DataFrame:
-    """How rows gather into contexts of identified users."""
+def context_profile(df: DataFrame, accuracy: int = 1_000_000) -> DataFrame:
+    """How rows gather into contexts of identified users; quantiles have a rank error of 1/accuracy."""
     contexts = (
         df.where("user_id is not null")
         .groupBy(*CONTEXT)
@@ -119,6 +119,7 @@ def context_profile(df: DataFrame) -> DataFrame:
         F.sum("r").alias("eligible_interaction_rows"),
         *(F.count_if(F.col(c) > k).alias(f"{n}_contexts") for c, k, n in (("r", 1, "multirow"), ("c", 1, "multicluster"), ("m", 1, "multimarket"), ("b", 0, "booking_bearing"), ("b", 1, "multibooking"))),
         F.avg("r").alias("avg_rows_per_context"),
+        *(F.percentile_approx(c, [0.5, 0.9, 0.99, 1.0], accuracy).alias(f"{n}_quantiles") for c, n in (("r", "rows"), ("c", "cluster"))),
     )
 
 
@@ -195,3 +196,18 @@ def same_rows(left: DataFrame, right: DataFrame) -> dict[str, object]:
     a, b = checksum(left).first(), checksum(right).first()
     equal = schema and a["rows"] == b["rows"] and left.exceptAll(right).isEmpty()
     return {"same_schema": schema, "left_rows": a["rows"], "right_rows": b["rows"], "checksums_agree": a == b, "exact": equal}
+
+
+def report(df: DataFrame, columns: list[str], categories: list[str]) -> dict[str, list[dict]]:
+    """Every profile of a source as rows by section; a table that lacks a required column is refused."""
+    if missing := missing_columns(df, columns):
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    sections = {
+        "counters": quality_counters(df),
+        "nulls": null_profile(df, columns).orderBy("column"),
+        "numbers": numeric_profile(df, trip_numbers()).orderBy("metric"),
+        "categories": categorical_profile(df, categories).orderBy("column", "place"),
+        "duplicates": duplicate_profile(df, columns),
+        "contexts": context_profile(df),
+    }
+    return {name: [r.asDict() for r in part.collect()] for name, part in sections.items()}  # a few rows per column each

@@ -163,6 +163,25 @@ def candidate_months(monthly: DataFrame, mart: DataFrame) -> DataFrame:
     return joined.groupBy("srch_destination_id").agg(F.count("*").alias("months"), F.count_if(F.col("booking_interaction_share") < F.col("benchmark")).alias("months_below"), *_sums())
 
 
+def _candidates(mart: DataFrame, key: str) -> DataFrame:
+    """The entities whose interval lies below the whole."""
+    whole = mart.agg(safe_rate(F.sum(booked()), F.sum(rows())).alias("benchmark"))
+    return mart.crossJoin(F.broadcast(whole)).where("booking_interaction_share_ci_high < benchmark").select(key)  # one row
+
+
+def candidate_composition(fact: DataFrame, mart: DataFrame, key: str) -> DataFrame:
+    """Devices, packages and travellers within each candidate, from the interactions themselves."""
+    kept = fact.join(_candidates(mart, key), key, "left_semi")
+    grouped = kept.groupBy(key, "device_segment", "package_segment", "traveller_segment").agg(F.count("*").alias("interaction_rows"), F.count_if(F.col("is_booking") == 1).alias("booking_rows"))
+    return grouped.withColumn("booking_interaction_share", safe_rate(F.col("booking_rows"), F.col("interaction_rows")))
+
+
+def bridge_composition(bridge: DataFrame, mart: DataFrame) -> DataFrame:
+    """The hotel markets within each candidate destination, as the bridge has them."""
+    kept = bridge.join(_candidates(mart, "srch_destination_id"), "srch_destination_id", "left_semi")
+    return kept.select("srch_destination_id", "hotel_market", "interaction_rows", "booking_rows", "interaction_share_within_destination", "first_observed_date", "last_observed_date")
+
+
 def seasonality(mart: DataFrame) -> DataFrame:
     """Calendar months of check-in over all years."""
     grouped = mart.groupBy(F.month("checkin_month").alias("month_number"), "traveller_segment").agg(*_sums())

@@ -6,13 +6,19 @@ carry a stable key, so every result is determined by its input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailmart.functions.measures import digest, month_index, month_start, safe_rate
+from trailmart.operators import gates, publish
 from trailmart.plans.dims import calendar
 from trailmart.plans.facts import CONTEXT_KEYS, interactions
 from trailmart.plans.marts import unpivot
+from trailmart.schema import ObjectSpec
+from trailmart.sources.landing import with_scan_ordinal
 
 
 def modal(name: str, where: Column | None = None) -> Column:
@@ -183,31 +189,31 @@ def destination_performance(context: DataFrame, stable: int = 100) -> DataFrame:
             F.max("event_date").alias("last_seen_date"),
         )
     )
-    medians = grouped.agg(F.percentile("search_contexts", 0.5).alias("median_destination_demand"), F.percentile("booking_context_rate", 0.5).alias("median_destination_booking_rate"))
     high = F.col("search_contexts") >= F.col("median_destination_demand")
     good = F.col("booking_context_rate") >= F.col("median_destination_booking_rate")
     quadrant = F.concat(F.when(high, "high").otherwise("low"), F.lit("_demand_"), F.when(good, "high").otherwise("low"), F.lit("_rate"))
-    deciled = deciles(deciles(grouped, "search_contexts", "demand_decile"), "booking_context_rate", "booking_rate_decile")
-    return deciled.crossJoin(F.broadcast(medians)).withColumn("performance_quadrant", quadrant).withColumn("is_stable_sample", F.col("search_contexts") >= stable)
+    demand, demand_median = deciles(grouped, "search_contexts", "demand_decile")
+    rated, rate_median = deciles(demand, "booking_context_rate", "booking_rate_decile")
+    medians = demand_median.withColumnRenamed("median", "median_destination_demand").crossJoin(rate_median.withColumnRenamed("median", "median_destination_booking_rate"))  # one row each
+    return rated.crossJoin(F.broadcast(medians)).withColumn("performance_quadrant", quadrant).withColumn("is_stable_sample", F.col("search_contexts") >= stable)
 
 
-def deciles(df: DataFrame, value: str, name: str, tie: str = "srch_destination_id", parts: int = 10) -> DataFrame:
-    """NTILE over all rows by ``value`` (nulls last) and ``tie``, without a window over all rows.
+def deciles(df: DataFrame, value: str, name: str, tie: str = "srch_destination_id", parts: int = 10) -> tuple[DataFrame, DataFrame]:
+    """NTILE over all rows by ``value`` (nulls last) and ``tie``, and the median of the values, as one row.
 
-    The rows of each value are counted; a cumulative sum over the values gives every row its rank. Only
-    the distinct values pass one task, and rows of one value are ranked within it.
+    Rows are spread by ranges of (value, tie) and sorted within them; the counts of the ranges before turn places in a
+    range into ranks, so neither all rows nor all of one value pass one task.
     """
-    sizes = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    before = Window.orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).withColumn("_n", F.sum("_c").over(everything)).drop("_c")
-    inside = Window.partitionBy(value).orderBy(tie)
-    rank = F.col("_before") + F.row_number().over(inside) - 1  # from 0
+    order = [F.col(value).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    ranked = with_scan_ordinal(df.repartitionByRange(*order).sortWithinPartitions(*order), "_rank")
+    whole = ranked.agg(F.count("*").alias("_n"), F.count(value).alias("_m"))
+    joined = ranked.crossJoin(F.broadcast(whole))  # one row
+    rank = F.col("_rank") - 1
     small, larger = F.expr(f"_n div {parts}"), F.col("_n") % parts
     edge = larger * (small + 1)
     tile = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(larger + F.floor((rank - edge) / F.greatest(small, F.lit(1)))) + 1
-    joined = df.join(sizes, F.col(value).eqNullSafe(F.col("_v")))
-    return joined.withColumn(name, tile.cast("int")).drop("_v", "_before", "_n")
+    middle = joined.where((F.col("_rank") >= F.expr("(_m + 1) div 2")) & (F.col("_rank") <= F.expr("_m div 2 + 1")) & (F.col("_rank") <= F.col("_m")))
+    return joined.withColumn(name, tile.cast("int")).drop("_rank", "_n", "_m"), middle.agg(F.avg(value).alias("median"))
 
 
 def destination_monthly(context: DataFrame, stable: int = 100) -> DataFrame:
@@ -314,3 +320,73 @@ def quality_daily(fact: DataFrame) -> DataFrame:
         *(rules[n].alias(f"{n}_rows") for n in DAILY_RULES),
         *(safe_rate(rules[n], F.count("*")).alias(f"{n}_rate") for n in DAILY_RATES),
     )
+
+
+def gates_of(source: DataFrame, made: dict[str, DataFrame]) -> DataFrame:
+    """The checks of the context-centred marts: (gate, actual, expected, passed)."""
+    fact, context, daily, places = (made[n] for n in ("fct_weighted_interactions", "fct_search_contexts", "dm_product_daily", "dm_destination_performance"))
+    outside = lambda df, *names: reduce(Column.__or__, (~F.col(n).between(0, 1) for n in names if n in df.columns))
+    one = lambda a, b: a.alias("a").crossJoin(b)  # one row each
+    total = lambda c: daily.agg(F.coalesce(F.sum(c), F.lit(0)).alias("actual_"))
+    pairs = {
+        "fact_preserves_source_rows": one(fact.agg(F.count("*").alias("actual_")), source.agg(F.count("*").alias("wanted"))),
+        "daily_context_totals_reconcile": one(total("search_contexts"), context.agg(F.count("*").alias("wanted"))),
+        "daily_booking_totals_reconcile": one(total("booking_contexts"), context.agg(F.count_if("has_booking").alias("wanted"))),
+    }
+    found = [gates.check(df, name, F.max("actual_"), F.max("wanted")) for name, df in pairs.items()]
+    found += [
+        gates.none_of(fact, "fact_has_no_null_event_dates", F.col("event_date").isNull()),
+        gates.none_of(fact, "fact_has_valid_booking_flag", ~F.col("is_booking").isin(0, 1)),
+        gates.none_of(fact, "event_weight_is_positive", F.col("event_weight") < 1),
+        gates.none_of(daily, "daily_rates_are_bounded", outside(daily, "booking_context_rate", "mobile_context_share", "package_context_share")),
+        gates.none_of(places, "destination_rates_are_bounded", outside(places, "booking_context_rate")),
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def marts_of(accepted: DataFrame, destinations: DataFrame, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """Every context-centred object by name, in the order in which they build on each other."""
+    made: dict[str, DataFrame] = {}
+
+    def add(name: str, df: DataFrame) -> DataFrame:
+        made[name] = keep(name, df)
+        return made[name]
+
+    fact = add("fct_weighted_interactions", weighted_interactions(accepted))
+    context = add("fct_search_contexts", search_contexts(fact))
+    add("dim_date", dim_date(context))
+    add("dim_destination", dim_destination(destinations, context))
+    add("dim_user_first_seen", first_seen(context))
+    for period, column, stable in (("daily", "event_date", 100), ("monthly", "event_month", 300)):
+        add(f"dm_product_{period}", product(context, column))
+        add(f"dm_segment_{period}", segments(context, column, stable))
+    for name, make in (
+        ("dm_destination_performance", destination_performance), ("dm_destination_monthly", destination_monthly), ("dm_travel_patterns", travel_patterns),
+        ("dm_user_profile", user_profile), ("dm_user_cohort_monthly", user_cohort_monthly),
+    ):
+        add(name, make(context))
+    add("dm_data_quality_summary", quality_summary(fact))
+    add("dm_data_quality_daily", quality_daily(fact))
+    return made
+
+
+def registry(made: dict[str, DataFrame]) -> DataFrame:
+    """One row per object: rows, columns and the first and last day it speaks of, gathered row by row as objects are made."""
+    entries = []
+    for name, df in made.items():
+        day = next((c for c in ("event_date", "event_month", "date_day", "event_day") if c in df.columns), None)
+        days = [F.min(day).cast("date"), F.max(day).cast("date")] if day else [F.lit(None).cast("date")] * 2
+        rows, first, last = df.agg(F.count("*"), *days).first()
+        if rows == 0:
+            raise gates.GateError(f"{name} is empty")
+        entries.append((name, rows, len(df.columns), first, last))
+    return next(iter(made.values())).sparkSession.createDataFrame(entries, "object_name string, row_count bigint, column_count int, min_date date, max_date date")
+
+
+def build_legacy(spark: SparkSession, accepted: DataFrame, destinations: DataFrame, out: str, build_id: str) -> str:
+    """Write every object with its registry and gates, and publish them if all gates pass."""
+    with publish.Build(out, build_id) as target:
+        made = marts_of(accepted, destinations, lambda name, df: target.write(df, ObjectSpec("legacy", name, ())))
+        target.write(registry(made), ObjectSpec("legacy", "object_registry", ("object_name",)))
+        gates.require(target.write(gates_of(accepted, made), ObjectSpec("legacy", "quality_checks", ("gate",))))
+    return target.final

