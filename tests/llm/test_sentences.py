@@ -91,6 +91,9 @@ def test_damage_and_length():
         ("1. Call ext.\n2. The hotel answers.", ["1. Call ext. 2.", "The hotel answers."]),
         ("We met\nA. Golpem and\nB. Mor.", ["We met A. Golpem and B. Mor."]),
         ("We pay for room\n1. The other is free.", ["We pay for room 1.", "The other is free."]),
+        ("Please buy: 1. Milk. 2. Eggs.", ["Please buy: 1. Milk.", "2. Eggs."]),
+        ("We met. 1. Milk. 2. Eggs", ["We met.", "1. Milk.", "2. Eggs"]),
+        ("We chose: 1. The rest waits.", ["We chose: 1.", "The rest waits."]),
         ("How many?\n5. And you?", ["How many?", "5.", "And you?"]),
     ],
 )
@@ -98,6 +101,23 @@ def test_list_levels(text, parts):
     assert cut(text) == parts
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ["Ask Gov. Smith and Sen. Brown today.", "Ing. Rossi left.", "The senator met the gov.", "He knows."],
+        ["Zie blz. 5 voor meer.", "Dank.", "Hmm.", "Thx.", "See Bldg. Four.", "Open the PDF.", "It is here."],
+        ["Hrn. Weber schrieb z.Hd. Frau Mor.", "Er mag das Gem.", "Ja."],
+        ["Il Sig. Mor e il Dott. Fago arrivano.", "Sì.", "Si veda pagg. 3 e 4."],
+        ["Use a.toString or iPad.", "eBooks help.", "ok then.", "mRNA is old."],
+        ["Она живёт на ул. Мира.", "Дом стар.", "См. рис. 5."],
+        ["قال د. مور ذلك.", "نعم.", "هل هذا صحيح؟", "لا!"],
+        ["यह सही है।", '"क्या?" मोर ने कहा।', "हाँ।"],
+    ],
+)
+def test_abbreviations_and_what_only_looks_like_them(parts):
+    assert cut(" ".join(parts)) == parts
+
+
 def test_many_items():
     assert len(sentences("".join(f"{i % 999 + 1}. Item\n" for i in range(20_000)))) > 19_000
     assert len(sentences("1. Keys.\na) Towels.\n" * 5_000)) == 10_000

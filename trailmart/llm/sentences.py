@@ -26,9 +26,16 @@ ALWAYS = """
 Mr Mrs Ms Dr Prof St Mt Rev Hon Capt Col Gen Lt Sgt Messrs Hr Fr Sr Sra Srta Dra Dña Mme Mlle Mgr Ud Uds Vd
 P.S N.B approx ca cf vs e.g i.e viz resp bzw d.h z.B u.a z.T vgl Abb Nr Tel Fax ext fig Fig figs sec Sec ch vol Vol ver pp
 pág págs aprox núm art Art Bd Str usf Sq Ave Blvd Rd al incl excl evtl ggf inkl zzgl gegr geb Kap Ziff
+Mio Mrd Tsd Jh ders dgl ebd eigtl ggü jmd lfd mind möbl sog südl tgl u.U u.ä z.Hd bijv d.w.z m.b.t i.v.m t.a.v t.n.v
+pagg cfr tfno cía dpto izq dcha dhr mevr mw drs éd attn assn eds
 ул д кв пр пер просп обл г-н г-жа т.е т.к т.н т.д напр см стр рис гл им проф акад доц
 डॉ श्री प्रो د أ م ص ت น พ ม ร ส ดร
 """.split()
+#: Titles and the like, written with a capital only.
+TITLES = """
+Gov Sen Rep Pres Maj Adm Cmdr Amb Atty Supt Insp Msgr Ste Ing Dipl Frl Abg Hrsg Dott Avv Geom Arch Sig Sigg Spett Egr
+Lic Arq Exc Excmo Ilmo Mlles Mmes Apt Bldg Dept Mtn Hwy Fwy
+""".split()
 #: Abbreviations after which a sentence may also end, if what follows looks like a beginning.
 MAYBE = """
 Inc Corp Ltd Co Cos GmbH AG S.A S.L S.r.l N.V B.V LLC Plc plc a.m p.m A.M P.M U.K U.S U.S.A E.U Ph.D M.D B.A M.A Jr
@@ -36,20 +43,22 @@ etc usw т.п руб коп др год гг вв min hrs hr km kg
 Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec Mon Tue Tues Wed Thu Thur Thurs Fri Sat Sun Mo Di Mi Do Sa So
 """.split()
 #: Abbreviations that only stand before a number.
-BEFORE_NUMBER = "No no Nos nos p pp Nr nr núm pág art Art fig Fig sec Sec ver vol ext Jan Feb Mar Apr May Jun Jul Aug Sep Sept Oct Nov Dec".split()
+BEFORE_NUMBER = "blz Blz pag Pag Cap chap Chap Rm Kap kap Abb abb Rn Abs Lfg No no Nos nos p pp Nr nr núm pág art Art fig Fig sec Sec ver vol ext Jan Feb Mar Apr May Jun Jul Aug Sep Sept Oct Nov Dec".split()
 #: Words a German ordinal (5. Oktober, 2. Stock) stands before.
 ORDINAL = """
 Januar Februar März April Mai Juni Juli August September Oktober November Dezember Jänner Stock Etage Quartal
 Tag Woche Monat Jahr Jahrhundert Klasse Platz Mal Auflage Kapitel Teil Weltkrieg
 """.split()
-#: Lower-case beginnings: names that start so, and the word that answers start with.
-LOWER_START = re.compile(r"(?:i(?:Pad|Phone|Pod|Mac|OS)|e(?:Bay|Book|Sim)|ok\b)")
+#: Short words without a vowel that are no abbreviations: sounds, and shorthand that may end a sentence.
+NO_ABBREVIATION = "hm hmm mm mmm sh shh shhh pst psst tsk brr grr pff pfft thx pls plz tks brb btw nth pc tv dvd cd pdf".split()
+#: Lower-case beginnings: names of one small letter before a capital, and the word that answers start with.
+LOWER_START = re.compile(r"(?:[a-z][A-Z][A-Za-z]+|ok\b)")
 #: What goes on after a quotation that ended in an end mark, in scripts without capitals or spaces.
 CJK_GOES_ON = re.compile(
     r"[とがをはもにでのへや]|って|など|という|然\s?后|接\s?着|随\s?后|于\s?是|并|而|就|便|又|才|但|"
     r"[^。！？!?“”「」]{0,14}?(?:[问说喊答写笑叫]\s?道|回\s?答|问|说|道)\s?(?=[。，,！]|$)"
 )
-SPOKE = re.compile(r"\S+(?: \S+)? (?:ने (?:पूछा|कहा|बताया|लिखा|बोला)|(?:asked|said|wrote|replied)(?=[.,;:]|$))")
+SPOKE = re.compile(r"\S+(?: \S+)? (?:ने \S+(?:ा|ी|े|ीं)(?=[।,.!?]|$)|(?:asked|said|wrote|replied)(?=[.,;:]|$))")
 #: End marks of the scripts of the world.
 MARKS = ".!?…‥。！？｡．؟۔।॥՞՜։፧።᠃᠉‼⁇⁈⁉⁉︕︖"
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "「": "」", "『": "』", "【": "】", "《": "》", "〈": "〉", "«": "»", "“": "”", "„": "“", "‹": "›", "｢": "｣"}
@@ -63,7 +72,7 @@ CJK = re.compile(r"[぀-ヿ㐀-䶿一-鿿豈-﫿가-힯]")
 THAI = "[฀-๿]"
 
 EVENT = re.compile(
-    r"(?P<skip>https?://[^\s<>\"“”«»（）()]*[^\s<>\"“”«»（）().,;:!?。，！？]|[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})"
+    r"(?P<skip>https?://[^\s<>\"“”«»（）()]*[^\s<>\"“”«»（）().,;:!?。，！？]|(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})"  # looked for once per word, however long
     rf"|(?P<emoji>{EMOJI}(?:[️‍\U0001f3fb-\U0001f3ff]|{EMOJI})*)"
     r"|(?P<damaged>" + "|".join(map(re.escape, DAMAGED)) + ")"
     r"|(?P<open>[" + re.escape("".join(PAIRS)) + "])"
@@ -115,7 +124,7 @@ class Trie:
 
 # a title or number may open a clause that begins in lower case
 ORDINALS = re.compile("(?:" + "|".join(re.escape(f) for w in ORDINAL for f in _forms(w)) + r")(?!\w)")
-TRIES = Trie([*ALWAYS, *(w[0].lower() + w[1:] for w in ALWAYS)]), Trie(MAYBE), Trie([*BEFORE_NUMBER, *(w.lower() for w in BEFORE_NUMBER)])
+TRIES = Trie([*ALWAYS, *TITLES, *(w[0].lower() + w[1:] for w in ALWAYS), *(w[0].upper() + w[1:] for w in ALWAYS if not w[0].isascii())]), Trie(MAYBE), Trie([*BEFORE_NUMBER, *(w.lower() for w in BEFORE_NUMBER)])
 
 
 def _begins(text: str, at: int) -> bool:
@@ -144,8 +153,11 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
             return False
         if following.isalpha() and not CJK.match(following) and not CJK.match(before):
             if following.islower():
-                return bool(LOWER_START.match(text, nxt)) and text[nxt : nxt + 3] in ("ok ", "iPa", "iPh") and before.isalnum()
+                return bool(LOWER_START.match(text, nxt)) and before.isalnum()
             second = text[nxt + 1 : nxt + 2]
+            more = text.find(".", nxt, nxt + 5)  # a dot within an abbreviation of several parts (z.Hd.)
+            if more > 0 and " " not in text[nxt:more] and not text[max(start, at - 3) : at].strip(" (")[1:].isalpha() and TRIES[0].before(text, more, start) and not TRIES[0].before(text, more, nxt):
+                return False
             if second == "." or not before.isalnum():
                 return False  # letters of one abbreviation (U.K.)
             if following.isupper() and not (second.islower() or second == " " or second == "'"):
@@ -163,7 +175,7 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
         return begins
     if number.before(text, at, start) and following.isdigit():
         return False
-    if always.before(text, at, start):
+    if always.before(text, at, start) or _vowelless(text, start, at):
         return False
     if before.isdigit():
         return begins and not ORDINALS.match(text, nxt)
@@ -174,6 +186,15 @@ def _full_stop(text: str, start: int, at: int, end: int, nxt: int) -> bool:
     return True
 
 
+VOWELLESS = re.compile(r"(?<![\w'’.-])[B-DF-HJ-NP-TV-XZ]?[bcdfghjklmnpqrstvwxzßçñ]{2,4}$")
+
+
+def _vowelless(text: str, start: int, at: int) -> bool:
+    """Whether a short word without a vowel stands before the mark (Bldg., Hrn., blz.): written in small letters, it is cut short."""
+    word = VOWELLESS.search(text, max(start, at - 7), at)
+    return bool(word) and word.group().lower() not in NO_ABBREVIATION
+
+
 #: A list marker: how it is written, and its number in each reading (digits, letter, Roman numeral).
 Marker = tuple[tuple[str, str], dict[str, tuple[int, ...]]]
 
@@ -244,9 +265,23 @@ def split_block(text: str, lines: list[int] | None = None) -> list[tuple[int, in
         start = guard = SPACES.match(text, end).end()
         pending = -1
         stack.clear()
-        item = ITEM.match(text, start) if levels else None
-        if item and not (head < len(heads) and heads[head].start() == start) and continues(_marker(item), False):
-            guard = item.end()
+        item = ITEM.match(text, start)
+        if item and not (head < len(heads) and heads[head].start() == start):
+            marker = _marker(item)
+            if levels and continues(marker, False):
+                guard = item.end()
+            elif item.group(2) == "1" and goes_by(item, item.end()):
+                opens(marker)
+                guard = item.end()
+
+    seconds: dict[tuple[str, str], int] = {}  # the last place of a second item, by how it is written
+
+    def goes_by(item: re.Match, at: int) -> bool:
+        """Whether, within a line or beyond, a second item follows the first one ``item``."""
+        if not seconds:
+            seconds["", ""] = -1
+            seconds.update(((m.group(1), m.group(2)), m.start()) for m in SECOND.finditer(text))
+        return seconds.get((item.group(1), item.group(3)), -1) >= at
 
     def reach(at: int) -> None:
         """Take up the items at starts of lines up to ``at``."""
@@ -355,6 +390,9 @@ def split_block(text: str, lines: list[int] | None = None) -> list[tuple[int, in
         if stack:
             pending = end
             continue
+        if letter == "." and text[at - 1 : at] == "1" and (item := AFTER_COLON.search(text, max(start, at - 8), end)) and (first := ITEM.match(text, item.end() - 2)) and goes_by(first, end):
+            opens(_marker(first))  # the first item of a list within the sentence that announces it
+            continue
         if letter in (".", "．"):
             ends = _full_stop(text, start, at, end, nxt)
         elif all(c in ".…‥ ．" for c in letter):
@@ -373,6 +411,8 @@ def split_block(text: str, lines: list[int] | None = None) -> list[tuple[int, in
     return found
 
 
+SECOND = re.compile(rf"(?<=[{re.escape(MARKS)}\s])(\(?)2([.)])(?=\s)")
+AFTER_COLON = re.compile(r"[:：]\s+1\.$")
 EVENT_END = re.compile(rf"[{re.escape(MARKS)}]")
 HEADER = re.compile(r"[^\s:]+:(?:[ \t]|$)|From ")
 MARKERS = re.compile(r"(?:>[ \t]*)+")
