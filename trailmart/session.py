@@ -33,17 +33,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of this application's checkpoints, which all executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (tests on one machine) a temporary folder is used instead.
+    It is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests on one
+    machine) a temporary folder is used instead, and removed at exit.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
         if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="trailmart-checkpoint-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in that folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
