@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailmart.llm.distinct import distinct_counts
 from trailmart.llm.packing import pack
 from trailmart.llm.quantiles import merged_quantiles, partial_sketches
 from trailmart.llm.sentences import find_sentences
-from trailmart.llm.tokens import encode
+from trailmart.llm.tokens import decode, encode
 from trailmart.session import checkpointed, table
 
 USER_KEYS = ("load_id", "event_date", "srch_destination_id", "device_segment", "is_booking")
@@ -82,6 +82,14 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"))
 
 
+def p8_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """How many documents come back as they were from their ids."""
+    documents = table(spark, folder, "documents")
+    back = decode(encode(documents)).withColumnRenamed("text", "back")
+    both = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(back, "doc_id")
+    return both.agg(F.count("*").alias("documents"), F.count_if(F.col("text") == F.col("back")).alias("equal"))
+
+
 CONTAINER = 2048
 
 
@@ -90,12 +98,45 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack(sizes, "doc_id", "tokens", CONTAINER)
 
 
+def p9_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What a packing must keep: every document whole, no container too full, no piece over another, few containers."""
+    sizes = checkpointed(encode(table(spark, folder, "documents"), only_counts=True))
+    packed = checkpointed(pack(sizes, "doc_id", "tokens", CONTAINER))
+    wrong = sizes.join(packed.groupBy("doc_id").agg(F.sum("size").alias("packed"), F.max("size").alias("most"), F.count("*").alias("pieces")), "doc_id", "left").where(
+        ~F.col("packed").eqNullSafe(F.col("tokens")) | (F.col("pieces") != F.greatest(F.lit(1), F.ceil(F.col("tokens") / CONTAINER)))
+    )
+    before = Window.partitionBy("container_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    filled = packed.where("size > 0").withColumn("free", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    places = filled.agg(
+        F.countDistinct("doc_id").alias("filled"), F.count_if(F.col("start") != F.col("free")).alias("misplaced"), F.count_if(F.col("start") + F.col("size") > CONTAINER).alias("overfull"),
+        F.coalesce(F.max("container_id") + 1, F.lit(0)).alias("containers"), F.coalesce(F.sum("size"), F.lit(0)).alias("total"),
+        F.count_if(F.col("size") > CONTAINER // 2).alias("large"),
+    )
+    counts = packed.agg(F.countDistinct("doc_id").alias("documents")).crossJoin(wrong.agg(F.count("*").alias("wrong"))).crossJoin(places)  # one row each
+    # best fit by decreasing size opens at most 11/9 of the fewest containers there can be, and one more
+    fewest = F.greatest(F.ceil(F.col("total") / CONTAINER), F.col("large"))
+    return counts.select("documents", "wrong", "misplaced", "overfull", (F.col("containers") <= fewest * 11 / 9 + 1).alias("few"))
+
+
+def p10_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """What sentences must keep: they lie in their text, begin and end with non-space characters, and do not overlap."""
+    documents = table(spark, folder, "documents")
+    found = find_sentences(documents).join(documents.select("doc_id", "text"), "doc_id")
+    piece = F.expr("substring(text, start_char + 1, end_char - start_char)")
+    after = F.lag("end_char").over(Window.partitionBy("doc_id").orderBy("start_char", "end_char"))
+    return found.withColumn("after", after).agg(
+        F.count_if((F.col("start_char") < 0) | (F.col("end_char") > F.length("text")) | (F.col("start_char") >= F.col("end_char"))).alias("outside"),
+        F.count_if(piece.rlike(r"^\s|\s$")).alias("spaced"),
+        F.count_if(F.col("after") > F.col("start_char")).alias("overlapping"),
+    )
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_sentences(table(spark, folder, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p3_rank_check, p8_ids, p9_containers, p10_found)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p3_rank_check, p8_ids, p8_round_trip, p9_containers, p9_check, p10_found, p10_coverage)}
 
 
 def _p1_sql(p: int = 12) -> str:
@@ -126,4 +167,10 @@ select grouping, column_name, {len(QUANTILES)} * count(*) as answers, {len(QUANT
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_distinct_users_portable": _p1_sql(), "p3_rank_check": P3_RANKS}
+    return {
+        "p1_distinct_users_portable": _p1_sql(),
+        "p3_rank_check": P3_RANKS,
+        "p8_round_trip": "select count(*) as documents, count(*) as equal from documents",
+        "p9_check": "select count(*) as documents, 0 as wrong, 0 as misplaced, 0 as overfull, true as few from documents",
+        "p10_coverage": "select 0 as outside, 0 as spaced, 0 as overlapping",
+    }

@@ -15,7 +15,6 @@ import hashlib
 import heapq
 import json
 import os
-import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.llm.lexicon import Lexicon, build
-from trailmart.session import checkpointed
+from trailmart.session import checkpoint_folder, checkpointed
 
 #: Bound on the words of the lexicon, and on a word's bytes; rarer or longer words are merged.
 LEXICON = 1 << 15
@@ -246,15 +245,9 @@ def ship_lexicon(df: DataFrame, vocab: str, text: str = "text", limit: int = LEX
 
 
 def _stored(df: DataFrame, name: str, data: bytes) -> str:
-    """Write a file to the shared folder of the checkpoints (in tests without one, to a temporary one)."""
+    """Write a file beside the application's checkpoints, with which it is removed."""
     context = df.sparkSession.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        folder = tempfile.mkdtemp(prefix="trailmart-lexicon-")
-        with open(os.path.join(folder, name), "wb") as file:
-            file.write(data)
-        return os.path.join(folder, name)
-    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared}/{name}")
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(df.sparkSession)}/{name}")
     stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
     stream.write(bytearray(data))
     stream.close()
@@ -322,3 +315,19 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", folder: str =
     rows = df.select(F.col(key).cast("bigint").alias("doc"), F.when(_rare(df, text), F.array().cast("array<string>")).otherwise(words(text)).alias("words"), F.when(_rare(df, text), F.col(text)).alias("rare"))
     made = rows.mapInArrow(run, f"doc bigint, {'tokens bigint' if only_counts else 'ids array<int>'}")
     return made.withColumnRenamed("doc", key)
+
+
+def decode(df: DataFrame, key: str = "doc_id", folder: str = TOKENIZERS) -> DataFrame:
+    """The way back: key and text of rows with ``ids``; bytes that are no UTF-8 are replaced, as by the public tokenizer."""
+    vocab = vocabulary(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = byte_letters()
+        with open(vocab, encoding="utf-8") as file:
+            known = json.load(file)["model"]["vocab"]
+        pieces = {i: bytes(letters[c] for c in token) for token, i in known.items() if all(c in letters for c in token)}
+        for batch in batches:
+            texts = [b"".join(pieces[i] for i in ids or ()).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "text"])
+
+    return df.select(F.col(key).cast("bigint").alias("doc"), "ids").mapInArrow(run, "doc bigint, text string").withColumnRenamed("doc", key)
