@@ -1,7 +1,9 @@
 import math
 
+from pyspark.sql import functions as F
+
 from trailmart.functions.cells import read_cell
-from trailmart.operators.diff import checksum_matrix, table_diff
+from trailmart.operators.diff import UNEQUAL, checksum_matrix, table_diff
 
 SCHEMA = "k int, a int, b double, bucket string"
 
@@ -61,12 +63,14 @@ def test_clashing_names(spark):
 
 
 def test_matrix_is_additive(spark):
-    df = spark.createDataFrame([(i, i, 1.0, "") for i in range(90)], SCHEMA)
-    whole = {r["_bucket"]: r for r in checksum_matrix(df, "k", ["a"], 8).collect()}
-    parts = [r for p in (df.where("k < 40"), df.where("k >= 40")) for r in checksum_matrix(p, "k", ["a"], 8).collect()]
-    for bucket, r in whole.items():
-        own = [p for p in parts if p["_bucket"] == bucket]
-        assert (r["n"], r["lo_0"], r["hi_0"]) == tuple(sum(p[c] for p in own) for c in ("n", "lo_0", "hi_0"))
+    df = spark.createDataFrame([(i, i, 1.0, "") for i in range(90)], SCHEMA).withColumn("_bucket", F.col("k") % 8)
+    cells = lambda d: {(r["_bucket"], r["i"]): (r["n"], r["lo"], r["hi"]) for r in checksum_matrix(d, "k", ["a", "b"]).collect()}
+    whole, parts = cells(df), [cells(df.where("k < 40")), cells(df.where("k >= 40"))]
+    assert len(whole) == 16
+    for at, sums in whole.items():
+        assert sums == tuple(map(sum, zip(*(p[at] for p in parts if at in p), strict=True)))
+    twice = df.withColumn("w", F.lit(1)).unionByName(df.withColumn("w", F.lit(-1)))
+    assert checksum_matrix(twice, "k", ["a", "b"], F.col("w")).where(UNEQUAL).count() == 0
 
 
 def test_cells_are_read_strictly(spark):
@@ -76,8 +80,6 @@ def test_cells_are_read_strictly(spark):
         ("timestamp_ntz", "2013-01-01T10:00:00", "2013-01-01 10:00:00"), ("timestamp_ntz", "2013-01-01 10:00:00.000", "2013-01-01 10:00:00"), ("timestamp_ntz", "2013-01-01 24:00:00", None),
         ("timestamp_ntz", "2013-01-01 10:00:00.5", None),
     ]
-    from pyspark.sql import functions as F
-
     for kind, text, expected in cases:
         df = spark.createDataFrame([(text,)], "c string").select(read_cell(F.col("c"), kind).alias("v"))
         value = df.first()["v"]

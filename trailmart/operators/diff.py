@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from trailmart.session import checkpointed
 
 LOW = 0xFFFFFFFF
-WIDE = 40  # columns of the matrix summed at once: more fields than 100 would leave generated code
 
 
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("bucket"), F.col(key)), F.lit(buckets))
 
 
-def _halves(value: Column, name: str) -> list[Column]:
-    return [F.sum(value.bitwiseAND(F.lit(LOW))).alias(f"lo_{name}"), F.sum(F.shiftrightunsigned(value, 32)).alias(f"hi_{name}")]
+def _sums(weight: Column, value: Column) -> list[Column]:
+    """What a set of hashes adds up to: their number and the sums of their halves."""
+    return [F.sum(weight).alias("n"), F.sum(weight * value.bitwiseAND(F.lit(LOW))).alias("lo"), F.sum(weight * F.shiftrightunsigned(value, 32)).alias("hi")]
 
 
 def _row_hash(key: str, columns: list[str]) -> Column:
@@ -37,29 +37,23 @@ def _row_hash(key: str, columns: list[str]) -> Column:
     return F.xxhash64(F.col(key), *(x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))))
 
 
-def checksum_margin(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
-    """One row per non-empty bucket: _bucket, n, and the sums lo_row and hi_row of the row hashes."""
-    hashed = df.select(_bucket(key, buckets).alias("_bucket"), _row_hash(key, columns).alias("h"))
-    return hashed.groupBy("_bucket").agg(F.count("*").alias("n"), *_halves(F.col("h"), "row"))
+def checksum_margin(df: DataFrame, key: str, columns: list[str], buckets: int, weight: int = 1) -> DataFrame:
+    """The row hashes to be added up: _bucket, h, and the weight of each."""
+    return df.select(_bucket(key, buckets).alias("_bucket"), _row_hash(key, columns).alias("h"), F.lit(weight).cast("bigint").alias("w"))
 
 
-def checksum_matrix(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
-    """One row per non-empty bucket: _bucket, n, and the sums lo_i and hi_i of each column.
+def checksum_matrix(df: DataFrame, key: str, columns: list[str], weight: Column | None = None) -> DataFrame:
+    """One row per cell: _bucket, i (the column), and the sums n, lo and hi of a table that has ``_bucket``.
 
-    Matrices of disjoint parts of a table combine by adding their cells.
+    Matrices of disjoint parts of a table combine by adding their cells; with weights of 1 and -1 for two
+    sides, cells of equal contents add up to nothing.
     """
-    sums = [part for i, c in enumerate(columns) for part in _halves(F.xxhash64(F.lit(c), F.col(key), F.col(c)), str(i))]
-    return df.groupBy(_bucket(key, buckets).alias("_bucket")).agg(F.count("*").alias("n"), *sums)
+    hashes = F.array(*(F.xxhash64(F.lit(c), F.col(key), F.col(c)) for c in columns))
+    cells = df.select("_bucket", (F.lit(1).cast("bigint") if weight is None else weight).alias("w"), F.posexplode(hashes).alias("i", "h"))
+    return cells.groupBy("_bucket", "i").agg(*_sums(F.col("w"), F.col("h")))
 
 
-def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two matrices side by side: the columns of each with a_ and b_ before their names."""
-    a, b = (m.select("_bucket", *(F.col(c).alias(f"{tag}_{c}") for c in m.columns if c != "_bucket")) for m, tag in ((a, "a"), (b, "b")))
-    return a.join(b, "_bucket", "full")
-
-
-def _unequal(*names: str) -> Column:
-    return reduce(Column.__or__, (~F.col(f"a_{n}").eqNullSafe(F.col(f"b_{n}")) for n in names))
+UNEQUAL = "n <> 0 or lo <> 0 or hi <> 0"
 
 
 def table_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str], left_name: str, right_name: str, rows_per_bucket: int = 4) -> DataFrame:
@@ -73,20 +67,13 @@ def table_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str],
     """
     left, right = (d.select(key, *columns).where(F.col(key).isNotNull()) for d in (left, right))
     buckets = max(64, max(left.count(), right.count()) // rows_per_bucket)
-    margins = _beside(*(checksum_margin(d, key, columns, buckets) for d in (left, right)))
-    suspects = checkpointed(margins.where(_unequal("n", "lo_row", "hi_row")).select("_bucket"))
-    # the rows of unequal buckets: a part of the data, read twice more
-    left, right = (
-        checkpointed(d.withColumn("_bucket", _bucket(key, buckets)).join(suspects, "_bucket", "left_semi").select("_bucket", key, *columns, _row_hash(key, columns).alias("_hash"))) for d in (left, right)
-    )
-
-    located = []
-    for start in range(0, len(columns), WIDE):
-        some = columns[start : start + WIDE]
-        cells = [F.when(_unequal(f"lo_{i}", f"hi_{i}"), F.lit(start + i)) for i in range(len(some))]
-        both = _beside(*(checksum_matrix(d, key, some, buckets) for d in (left, right)))
-        located.append(both.select("_bucket", F.array_compact(F.array(*cells)).alias("cells")).where(F.size("cells") > 0))
-    located = checkpointed(reduce(DataFrame.unionByName, located).groupBy("_bucket").agg(F.flatten(F.collect_list("cells")).alias("cells")))
+    margin = checksum_margin(left, key, columns, buckets).unionByName(checksum_margin(right, key, columns, buckets, -1))
+    suspects = checkpointed(margin.groupBy("_bucket").agg(*_sums(F.col("w"), F.col("h"))).where(UNEQUAL).select("_bucket"))
+    # the rows of unequal buckets, of both sides: a part of the data, read several times from here on
+    sides = (d.select(F.lit(w).cast("bigint").alias("_side"), _bucket(key, buckets).alias("_bucket"), key, *columns).join(suspects, "_bucket", "left_semi") for d, w in ((left, 1), (right, -1)))
+    both = checkpointed(reduce(DataFrame.unionByName, sides).withColumn("_hash", _row_hash(key, columns)))
+    left, right = both.where("_side = 1").drop("_side"), both.where("_side = -1").drop("_side")
+    located = checkpointed(checksum_matrix(both, key, columns, F.col("_side")).where(UNEQUAL).groupBy("_bucket").agg(F.collect_list("i").alias("cells")))
 
     def candidates(d: DataFrame, tag: str) -> DataFrame:
         kept = d.join(located.withColumnRenamed("_bucket", "_b"), F.col("_bucket") == F.col("_b"), "left")
@@ -104,12 +91,10 @@ def table_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str],
     )
     out = joined.select(F.col("row_key").cast("bigint").alias("row_key"), F.explode(found).alias("d")).select("row_key", "d.field", "d.kind")
 
-    split = []
-    for d, name in ((left, left_name), (right, right_name)):
-        repeats = checkpointed(d.groupBy(F.col(key).alias("row_key")).agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b").select("row_key"))
-        split.append((repeats, d, name))
-    if all(repeats.isEmpty() for repeats, _, _ in split):
+    repeats = checkpointed(both.groupBy("_side", F.col(key).alias("row_key")).agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b").select("_side", "row_key"))
+    if repeats.isEmpty():
         return out
+    split = [(repeats.where(F.col("_side") == side).select("row_key"), d, name) for side, d, name in ((1, left, left_name), (-1, right, right_name))]
     return reduce(DataFrame.unionByName, (out, *_conflicts(split, key, columns)))
 
 
