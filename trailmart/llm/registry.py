@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trailmart.llm.distinct import distinct_counts
+from trailmart.llm.distinct import distinct_counts, estimates, register_rows, roll_up
 from trailmart.llm.packing import pack
 from trailmart.llm.quantiles import merged_quantiles, partial_sketches
 from trailmart.llm.sentences import find_sentences
@@ -36,6 +36,27 @@ def p1_distinct_users_portable(spark: SparkSession, folder: str) -> DataFrame:
     return distinct_counts(table(spark, folder, "fct_hotel_interactions"), "user_id", USER_KEYS, USER_SETS, hash_kind="md5")
 
 
+STORED_DAYS = "event_date >= date'2014-01-01' and event_date < date'2015-01-01'"
+
+
+def p1_of_stored_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of 2014 alone, merged from stored registers of each load, day and group."""
+    stored = checkpointed(register_rows(table(spark, folder, "fct_hotel_interactions"), USER_KEYS, "user_id", hash_kind="md5"))
+    return estimates(roll_up(stored.where(STORED_DAYS), USER_KEYS, USER_SETS))
+
+
+def p1_error_check(spark: SparkSession, folder: str) -> DataFrame:
+    """How many estimates lie within 4.5 standard errors (and one) of the number counted exactly."""
+    events = table(spark, folder, "fct_hotel_interactions").where("user_id is not null")
+    sets = F.explode(F.array(*(F.struct(F.lit(",".join(s) or "all").alias("grouping"), F.to_json(F.struct(*(F.col(k).cast("string").alias(k) for k in s))).alias("at")) for s in USER_SETS if s)))
+    exact = events.select(sets.alias("g"), "user_id").select("g.*", "user_id").distinct().groupBy("grouping", "at").agg(F.count("*").alias("n"))
+    found = p1_distinct_users(spark, folder)
+    at = F.coalesce(*(F.when(F.col("grouping") == ",".join(s), F.to_json(F.struct(*(F.col(k).cast("string").alias(k) for k in s)))) for s in USER_SETS if s))
+    both = exact.join(found.select("grouping", at.alias("at"), "users", "standard_error"), ["grouping", "at"], "left")
+    near = F.abs(F.col("users") - F.col("n")) <= 1 + 4.5 * F.col("standard_error") * F.col("n")
+    return both.groupBy("grouping").agg(F.count("*").alias("groups"), F.count_if(near).alias("near"))
+
+
 def p3_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, Column, dict[str, Column], dict[str, Column]]:
     rows = table(spark, folder, "train")
     month = F.trunc(F.col("date_time").cast("date"), "MM")
@@ -136,7 +157,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p3_percentiles, p3_rank_check, p8_ids, p8_round_trip, p9_containers, p9_check, p10_found, p10_coverage)}
+    return {f.__name__: f for f in (p1_distinct_users, p1_distinct_users_portable, p1_of_stored_days, p1_error_check, p3_percentiles, p3_rank_check, p8_ids, p8_round_trip, p9_containers, p9_check, p10_found, p10_coverage)}
 
 
 def _p1_sql(p: int = 12) -> str:
@@ -169,6 +190,10 @@ select grouping, column_name, {len(QUANTILES)} * count(*) as answers, {len(QUANT
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_distinct_users_portable": _p1_sql(),
+        "p1_of_stored_days": _p1_sql().replace("user_id is not null)", f"user_id is not null and {STORED_DAYS})", 1),
+        "p1_error_check": " union all ".join(
+            f"select '{','.join(s)}' as grouping, count(*) as groups, count(*) as near from (select distinct {', '.join(s)} from fct_hotel_interactions where user_id is not null)" for s in USER_SETS if s
+        ),
         "p3_rank_check": P3_RANKS,
         "p8_round_trip": "select count(*) as documents, count(*) as equal from documents",
         "p9_check": "select count(*) as documents, 0 as wrong, 0 as misplaced, 0 as overfull, true as few from documents",
