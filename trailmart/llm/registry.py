@@ -196,6 +196,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "p3_rank_check": P3_RANKS,
         "p8_round_trip": "select count(*) as documents, count(*) as equal from documents",
-        "p9_check": "select count(*) as documents, 0 as wrong, 0 as misplaced, 0 as overfull, true as few from documents",
-        "p10_coverage": "select 0 as outside, 0 as spaced, 0 as overlapping",
+        "p9_check": "select count(*) as documents, 0::bigint as wrong, 0::bigint as misplaced, 0::bigint as overfull, true as few from documents",
+        "p10_coverage": "select 0::bigint as outside, 0::bigint as spaced, 0::bigint as overlapping",
     }
