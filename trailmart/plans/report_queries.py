@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmart.contract import DEFAULT
 from trailmart.functions.cells import read_cell
 from trailmart.operators import profile
 from trailmart.operators.rejects import TRAIN_FIELDS
@@ -13,6 +14,7 @@ from trailmart.plans import analysis, bi, build, dashboards, legacy
 from trailmart.plans.build import checks_of
 from trailmart.plans.mart_queries import QUERIES as M
 from trailmart.plans.mart_queries import SQL as S
+from trailmart.plans.pipeline_queries import D_, T_
 from trailmart.plans.problems import SPARK_KIND, _cell
 from trailmart.plans.sqltext import CONTEXT_KEYS, I, rate, wilson
 from trailmart.schema import LATENT, TRAIN
@@ -99,6 +101,9 @@ QUERIES = {
     "da11_bridge_composition": lambda s, d: analysis.bridge_composition(M["dm4_bridge_destination_hotel_market"](s, d), M["bm11_destination_performance"](s, d)),
     "mc2_wilson_unbounded": lambda s, d: wilson_bounds(M["bm4_interaction_outcome_monthly"](s, d)),
     "pf1_missing_columns": missing,
+    "qg_failed_gates": lambda s, d: checks_of(s, d).where("not passed").select("gate", "actual", "expected"),
+    "bi16_failed_checks": lambda s, d: dashboards.validation(*dashboard_of(s, d)).where("not passed").select("gate"),
+    "bi17_failed_checks": lambda s, d: dashboards.audit(dashboard_of(s, d)[0]).where("not passed").select("gate"),
     "bi16_validation": lambda s, d: dashboards.validation(*dashboard_of(s, d)),
     "bi17_audit": lambda s, d: dashboards.audit(dashboard_of(s, d)[0]),
     "bi20_source_truth": lambda s, d: dashboards.source_truth(M["cf1_fct_hotel_interactions"](s, d), dashboard_of(s, d)[0]),
@@ -175,6 +180,13 @@ SQL = {
         {rate('count(*) filter (where is_booking = 1)', 'count(*)')} as booking_interaction_share from i where {key} in (select {key} from k) group by 1, 2, 3, 4"""
         for name, mart, key in (("destination", "bm11_destination_performance", "srch_destination_id"), ("market", "bm12_hotel_market_performance", "hotel_market"))
     },
+    # of all gates only the contract's limits can fail on sound marts: those on quarantined rows and on contexts of several markets
+    "qg_failed_gates": f"""with t as ({T_} select count(*) filter (where reject_reasons <> '') / count(*)::double as v from k), d as ({D_} select count(*) filter (where reject_reasons <> '') / count(*)::double as v from k),
+      m as (select affected_share as v from ({S["am3_proxy_context_ambiguity"]}) where ambiguity_type = 'multimarket_context'),
+      g as (select 'quarantine_rate:train' as gate, v as actual, {DEFAULT.maximum_quarantine_rate!r}::double as expected from t union all select 'quarantine_rate:destinations', v, {DEFAULT.maximum_quarantine_rate!r}::double from d
+        union all select 'multimarket_rate', v, {DEFAULT.maximum_multimarket_rate!r}::double from m) select * from g where actual > expected""",
+    "bi16_failed_checks": "select '' as gate where false",
+    "bi17_failed_checks": "select '' as gate where false",
     "da11_bridge_composition": f"""with m as ({S["bm11_destination_performance"]}), b as ({S["dm4_bridge_destination_hotel_market"]}), o as (select sum(booking_rows) / sum(interaction_rows)::double as benchmark from m)
       select srch_destination_id, hotel_market, interaction_rows, booking_rows, interaction_share_within_destination, first_observed_date, last_observed_date from b
       where srch_destination_id in (select srch_destination_id from m, o where booking_interaction_share_ci_high < benchmark)""",
