@@ -90,3 +90,15 @@ def test_empty_tables(spark, data):
     empty = table(spark, data, "fct_hotel_interactions").where("false")
     assert load_departures(empty).count() == 0
     assert column_profile(empty).count() == 0
+
+
+def test_loads_of_any_number_are_judged(spark):
+    """-1 is a load like any other, and rows without a load are one of their own."""
+    rows = [(load, float(100 * (3 if load in (-1, None) else 1) + i), "2014-01-10", "2014-01-01", 5, i + 1) for load in (None, -1, 1, 2, 3, 4, 5) for i in range(9)]
+    df = spark.createDataFrame(rows, "load_id int, orig_destination_distance double, ci string, ed string, hotel_market int, user_id long")
+    df = df.selectExpr("load_id", "orig_destination_distance", "date(ci) as checkin_date", "date(ed) as event_date", "hotel_market", "user_id")
+    found = {(r["load_id"], r["column_name"], r["kind"]) for r in load_departures(df).collect()}
+    assert found == {(None, "orig_destination_distance", "shift"), (-1, "orig_destination_distance", "shift")}
+    # a narrow spread about one mean settles every column by its power sums alone
+    near = df.withColumn("orig_destination_distance", F.lit(1000.0) + F.col("user_id") / 10)
+    assert load_departures(near).count() == 0
